@@ -16,6 +16,43 @@ def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(_table(spark, sf_dir, "documents"))
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import url_filters
+
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    fetched = F.timestamp_seconds(F.lit(1704067200) + F.pmod(F.col("page_id") * 7919, F.lit(366)) * 86400)
+    out = url_filters.filter_urls(pages.withColumn("fetched_at", fetched), url_filters.dated_entries(pages))
+    return out.select("page_id", "host", F.date_format("fetched_at", "yyyy-MM-dd").alias("fetched_on"), F.col("blocked").cast("int").alias("blocked"), "n_active", "categories", F.date_format("listed_since", "yyyy-MM-dd").alias("listed_since"))
+
+
+OP3_SQL = r"""
+with captures as (
+  select page_id, rtrim(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]*)', 1)), '.') as host,
+         case when regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1) = '' then '/'
+              else regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1) end as path,
+         date '2024-01-01' + cast((((page_id * 7919) % 366 + 366) % 366) as int) as fetched
+  from pages),
+hosts as (select host, ('0x' || substr(md5(host), 1, 6))::bigint as h from (select distinct host from captures where host <> '')),
+events as (
+  select host, '/' as prefix, ['spam', 'malware', 'adult'][h % 3 + 1] as category, 'add' as action, date '2024-01-01' + (h % 200)::int as dated from hosts
+  union all select host, '/', ['spam', 'malware', 'adult'][h % 3 + 1], 'remove', date '2024-01-01' + (h % 200 + 30 + h % 61)::int from hosts where h % 2 = 0
+  union all select host, '/', ['spam', 'malware', 'adult'][h % 3 + 1], 'add', date '2024-01-01' + (h % 200 + 50 + h % 61)::int from hosts where h % 4 = 0
+  union all select host, '/fr/', 'geo', 'add', date '2024-01-01' + (h % 97)::int from hosts where h % 3 = 0
+  union all select * from (values ('example.org', '/', 'parked', 'add', date '2024-03-01'), ('example.org', '/', 'parked', 'remove', date '2024-05-01'),
+                                  ('example.com', '/de/', 'geo', 'add', date '2024-02-10'), ('example.com', '/de/', 'geo', 'remove', date '2024-09-01'))),
+spans as (
+  select *, lead(dated) over (partition by host, prefix, category order by dated, action desc) as until from events),
+active as (
+  select c.page_id, count(*) as n_active, string_agg(distinct s.category, ',' order by s.category) as categories, min(s.dated) as since
+  from captures c join spans s on (c.host = s.host or ends_with(c.host, '.' || s.host)) and starts_with(c.path, s.prefix)
+   and s.action = 'add' and s.dated <= c.fetched and (s.until is null or c.fetched < s.until)
+  group by c.page_id)
+select c.page_id, c.host, strftime(c.fetched, '%Y-%m-%d') as fetched_on, case when a.n_active > 0 then 1 else 0 end as blocked,
+       coalesce(a.n_active, 0) as n_active, coalesce(a.categories, '') as categories, strftime(a.since, '%Y-%m-%d') as listed_since
+from captures c left join active a using (page_id)
+"""
+
+
 def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import jpeg
 
@@ -23,6 +60,12 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jpeg.features(stored).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", "thumb_hash")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+
+    return quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import chat
 
@@ -48,9 +91,11 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_document_fingerprints": op2_document_fingerprints,
+    "op3_url_filters": op3_url_filters,
     "op4_media_columns": op4_media_columns,
+    "op5_quality_classifier": op5_quality_classifier,
     "op7_chat_formatting": op7_chat_formatting,
     "op9_byte_level_bpe": op9_byte_level_bpe,
     "op10_source_mixing": op10_source_mixing,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_url_filters": OP3_SQL}
