@@ -81,6 +81,12 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_chats(chat.format_chats(turns))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import repeats
+
+    return repeats.dedup_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op9_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import bpe
 
@@ -102,6 +108,7 @@ QUERIES = {
     "op4_media_columns": op4_media_columns,
     "op5_quality_classifier": op5_quality_classifier,
     "op7_chat_formatting": op7_chat_formatting,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_byte_level_bpe": op9_byte_level_bpe,
     "op10_source_mixing": op10_source_mixing,
 }
