@@ -72,6 +72,12 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import pii
+
+    return pii.span_counts(pii.pseudonymize(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import chat
 
@@ -107,6 +113,7 @@ QUERIES = {
     "op3_url_filters": op3_url_filters,
     "op4_media_columns": op4_media_columns,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_pii_pseudonyms": op6_pii_pseudonyms,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_byte_level_bpe": op9_byte_level_bpe,
