@@ -146,12 +146,19 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as often as it is taken, with the columns
     of ``docs``.  Documents aren't cut: of the one partial copy that a source
     has at most, half a document or more counts as a copy."""
-    plan = mix(docs, **options)
+    plan = materialize(mix(docs, **options))
     copies = F.col("copies") + F.when((F.col("partial") > 0) & (2 * F.col("partial") >= F.col("size")), 1).otherwise(0)
-    # The k-th row of a repeated id gets the id's k-th decision.
-    plan = plan.select(F.col("doc_id").alias("_id"), copies.alias("_copies"), F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("size"), F.desc("taken"))).alias("_k")).where("_copies > 0")
-    own = docs.withColumn("_id", F.col("doc_id").cast("long"))
-    own = own.withColumn("_k", F.row_number().over(Window.partitionBy("_id").orderBy(word_count(F.col("text")).desc())))
-    rows = own.alias("o").join(plan.alias("p"), F.col("o._id").eqNullSafe(F.col("p._id")) & (F.col("o._k") == F.col("p._k"))).select("o.*", "p._copies")
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    # The k-th row of a repeated id gets the id's k-th decision; the texts are
+    # shuffled once, by id.
+    made = F.struct("size", "taken", copies.cast("int").alias("copies"))
+    made = plan.groupBy(F.col("doc_id").alias("_plan_id")).agg(F.sort_array(F.collect_list(made), asc=False).alias("_made"))
+    own = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_size", word_count(F.col("text")))
+    rows = own.join(made, F.col("_id").eqNullSafe(F.col("_plan_id")))
+    rows = rows.withColumn("_k", F.row_number().over(Window.partitionBy("_id").orderBy(F.desc("_size")))) if _repeats(plan) else rows.withColumn("_k", F.lit(1))
+    rows = rows.withColumn("_copies", F.element_at("_made", F.col("_k"))["copies"]).where("_copies > 0")
+    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return rows.select(*docs.columns)
+
+
+def _repeats(plan: DataFrame) -> bool:
+    return plan.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count() > 0

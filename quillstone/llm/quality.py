@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, materialize
+from .common import column
 
 TRAIN_ROWS = 20_000
 THRESHOLD = 0.7
@@ -207,11 +207,14 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit_quality(stats: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> RuleModel:
+def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> RuleModel:
     """A model from the labelled rows that are not held out, ``train_rows`` of
-    them at most."""
-    marks = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("_quality")).where(~held_out(F.col("_id")))
-    rows = stats.join(marks, F.col("doc_id") == F.col("_id")).select("_id", "_quality", *STATISTICS)
+    them at most; only their texts are looked at.  The labels picked are so
+    few by their limit that they can be sent to every task."""
+    marks = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("_quality")).where(~held_out(F.col("_id")))
+    picked = marks.orderBy(F.xxhash64("_id"), "_id", "_quality").limit(train_rows)
+    given = docs.select(F.col("doc_id").cast("long").alias("_id"), "text")
+    rows = with_statistics(given.join(F.broadcast(picked), "_id"))
     some = rows.orderBy(F.xxhash64("_id"), "_id", "_quality", *STATISTICS).limit(train_rows).toArrow()
     x = np.stack([some[c].to_numpy() for c in STATISTICS], 1) if len(some) else np.zeros((0, len(STATISTICS)))
     return RuleModel.fit(x, some["_quality"].to_numpy() if len(some) else np.zeros(0))
@@ -219,15 +222,13 @@ def fit_quality(stats: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROW
 
 def score_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted and the statistics of every document."""
-    stats = materialize(with_statistics(docs.select(F.col("doc_id"), F.col("text"))))
-    model = fit_quality(stats, labels, train_rows)
-    score = model.column()
+    score = fit_quality(docs, labels, train_rows).column()
+    stats = with_statistics(docs.select("doc_id", "text"))
     return stats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), *STATISTICS).withColumn("predicted", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """``docs`` without the documents whose score is below THRESHOLD."""
-    stats = with_statistics(docs.withColumn("_t", F.col("text")), "_t")
-    narrow = materialize(with_statistics(docs.select("doc_id", "text")))
-    model = fit_quality(narrow, labels, train_rows)
-    return stats.where(model.column() >= THRESHOLD).select(*docs.columns)
+    score = fit_quality(docs, labels, train_rows).column()
+    row = docs.select(F.struct(*docs.columns).alias("_row"), "text")
+    return with_statistics(row).where(score >= THRESHOLD).select("_row.*")

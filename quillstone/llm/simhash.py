@@ -13,8 +13,8 @@ tasks, and each task walks the subtrees it holds, all of them at once, in
 numpy.  A pair that agrees on an earlier choice too is left to that trie.  A
 subtree of more than ``SUBTREE`` fingerprints is dealt into equal parts by a
 hash; every part, and every pair of parts, is walked by a task of its own.
-``agree`` is 1, and 2 from ``TWO_BLOCKS`` fingerprints, where the subtrees of
-one block would be too large; the links are the same.
+``agree`` is 1, and 2 where one block would give subtrees of more than
+``TWO_BLOCKS`` fingerprints on average; the links are the same.
 
 Each task reports a spanning forest of the links it finds, never all pairs, so
 groups of copies cost as many rows as they have members.  Components of the
@@ -29,6 +29,7 @@ empty table gives an empty result; other columns pass by.
 from __future__ import annotations
 
 import itertools
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from .common import column, materialize
 
@@ -43,7 +45,7 @@ SHINGLE = 4
 RADIUS = 4
 SEED = 42
 SUBTREE = 8_192
-TWO_BLOCKS = 1 << 26
+TWO_BLOCKS = 4_096  # fingerprints to a subtree
 PIECE = 1 << 18
 #: Pairs of nodes in one step of the walk, and leaves below which a pair of nodes is compared at once.
 FRONT = 1 << 19
@@ -216,16 +218,17 @@ def _same_earlier(a: np.ndarray, b: np.ndarray, earlier: list[Choice]) -> np.nda
     return same
 
 
-def links(prints: DataFrame, radius: int = RADIUS, agree: int | None = None, extra: tuple[str, ...] = (), accept=None) -> DataFrame:
-    """(fp, to): a forest with the same components as all links between the
-    distinct fingerprints of ``prints`` within ``radius`` bits.
+def links(prints: DataFrame, radius: int = RADIUS, agree: int | None = None, ident: str = "fp", extra: tuple[str, ...] = (), cost=None) -> DataFrame:
+    """(a, b): idents of a forest with the same components as all links between
+    the distinct fingerprints ``fp`` of ``prints`` within ``radius`` bits.
 
-    ``extra`` long columns travel along; ``accept(rows_a, rows_b)`` may refuse
-    links by them and gives an order, best links first, by returning a cost
-    for each (infinite: refused)."""
+    ``cost(rows_a, rows_b)``, of the long columns ``extra``, puts links in
+    order, cheapest first, and refuses those of infinite cost."""
+    extra = tuple(dict.fromkeys([*extra, ident]))
+    extra = tuple(c for c in extra if c != "fp")
     cols = ["fp", *extra]
     distinct = materialize(prints.select(*cols).where("fp is not null").distinct())
-    table = choices(radius, agree or (1 if distinct.count() < TWO_BLOCKS else 2))
+    table = choices(radius, agree or (1 if distinct.count() < TWO_BLOCKS << (64 // (radius + 1)) else 2))
     part = "shiftleft(shiftrightunsigned(fp, {}) & {}, {})"
     keys = [F.expr(" | ".join(part.format(low, (1 << wide) - 1, sum(w for _, w in choice[k + 1 :])) for k, (low, wide) in enumerate(choice))) for choice in table]
     dealt = distinct.select(*cols, F.posexplode(F.array(*keys)).alias("trie", "subtree"))
@@ -284,23 +287,40 @@ def links(prints: DataFrame, radius: int = RADIUS, agree: int | None = None, ext
             left = np.concatenate([inner, nodes[first]])
             right = np.concatenate([inner, nodes[first + 1]])
             forest, own = Forest(len(rows)), fp[rows]
+            priced: list = []
+            name = own.astype(np.int64) if ident == "fp" else more[ident][rows]
 
             def report(a, b, forest=forest, own=own, rows=rows, k=k):
                 new = ~_same_earlier(own[a], own[b], table[:k])
                 a, b = a[new], b[new]
-                if accept is None:
+                if cost is None:
                     forest.add(a, b)
                     return
-                cost = accept({c: v[rows[a]] for c, v in more.items()}, {c: v[rows[b]] for c, v in more.items()})
-                for limit in np.unique(cost[np.isfinite(cost)]):
-                    forest.add(a[cost == limit], b[cost == limit])
+                price = cost({c: v[rows[a]] for c, v in more.items()}, {c: v[rows[b]] for c, v in more.items()})
+                priced.append((price[np.isfinite(price)], a[np.isfinite(price)], b[np.isfinite(price)]))
+                if sum(len(x[0]) for x in priced) > 8 * FRONT:
+                    settle()
+
+            def settle(forest=forest, priced=priced):
+                # Of the dearer links only a forest is kept, to meet the cheaper
+                # ones of later batches.
+                price, a, b = (np.concatenate(x) for x in zip(*priced))
+                fresh = Forest(len(forest.root))
+                for limit in np.unique(price):
+                    fresh.add(a[price == limit], b[price == limit])
+                a, b = fresh.links()
+                prices = cost({c: v[rows[a]] for c, v in more.items()}, {c: v[rows[b]] for c, v in more.items()})
+                priced[:] = [(prices, a, b)]
+                forest.root, forest.edges = fresh.root, fresh.edges
 
             walk(key, left, right, sum(w for _, w in choice), radius, report)
+            if priced:
+                settle()
             a, b = forest.links()
             if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(own[a].astype(np.int64)), pa.array(own[b].astype(np.int64))], names=["fp", "to"])
+                yield pa.RecordBatch.from_arrays([pa.array(name[a]), pa.array(name[b])], names=["a", "b"])
 
-    return rows.mapInArrow(run, "fp long, to long")
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -338,8 +358,111 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     reachable over links of ``radius`` bits, itself included."""
     prints = materialize(fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), shingle=shingle))
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    root = components(links(least, radius).select(F.col("fp").alias("a"), F.col("to").alias("b")))
+    root = components(links(least, radius))
     rooted = least.join(root, least.fp == root.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
     best = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = materialize(rooted.join(best, "root").select("fp", "component_id"))
     return prints.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+#: The near-duplicate stage: word fingerprints, links by all of them, Jaccard.
+WORD_SEEDS = 4
+WORD_BITS = 40
+WORD_RADIUS = 5
+SIMILARITY = 0.8
+STAGE_SHINGLE = 5
+
+
+def word_simhash(words: list[bytes]) -> np.ndarray:
+    """WORD_SEEDS fingerprints of a text's words; a word weighs 1 + log2 of its
+    count.  An edit changes one word of many, but five 5-word shingles."""
+    counts = Counter(words)
+    if not counts:
+        return np.zeros(WORD_SEEDS, np.int64)
+    votes, total = np.zeros(64 * WORD_SEEDS, np.float32), 0.0
+    items = list(counts.items())
+    for lo in range(0, len(items), 50_000):
+        some = items[lo : lo + 50_000]
+        raw = b"".join([xxhash.xxh3_128_digest(w, k) for w, _ in some for k in range(WORD_SEEDS // 2)])
+        bits = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(len(some), -1), axis=1)
+        n = np.fromiter((c for _, c in some), np.float32, len(some))
+        once = n == 1
+        weight = 1 + np.log2(n[~once])
+        votes += bits[once].sum(axis=0, dtype=np.int32) + weight @ bits[~once].astype(np.float32)
+        total += float(once.sum() + weight.sum())
+    return np.packbits(votes * 2 > total).view(">i8").astype(np.int64)
+
+
+def shingle_hashes(words: list[bytes], shingle: int = STAGE_SHINGLE) -> np.ndarray:
+    """Distinct hashes of the word shingles; of fewer words, of them all."""
+    n = max(1, len(words) - shingle + 1)
+    return np.unique(np.fromiter((xxhash.xxh3_64_intdigest(b" ".join(words[i : i + shingle])) for i in range(n)), np.uint64, n)).astype(np.int64)
+
+
+def _per_text(df: DataFrame, columns: str, of) -> DataFrame:
+    """``of(words)`` of each row's text, as columns behind all others."""
+    names = [c for c in df.columns if c != "text"]
+    added = [f.split() for f in columns.split(", ")]
+    kinds = {"long": pa.int64(), "array<long>": pa.list_(pa.int64())}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(0, len(b), 1_000):
+                part = b.slice(i, 1_000)
+                made = [of((t.as_buffer().to_pybytes() if t.is_valid else b"").lower().split()) for t in column(part, "_text")]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *(pa.array(x, kinds[t]) for x, (_, t) in zip(zip(*made), added))], names=[*(f"k{k}" for k in range(len(names))), *(n for n, _ in added)])
+
+    given = df.select(*[F.col(c).alias(f"k{k}") for k, c in enumerate(names)], F.col("text").alias("_text"))
+    schema = given.drop("_text").schema
+    for name, kind in added:
+        schema = schema.add(name, ArrayType(LongType()) if kind != "long" else LongType())
+    return given.mapInArrow(run, schema).toDF(*names, *(n for n, _ in added))
+
+
+def similar_texts(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b) keys of links between distinct texts (key, text), within a forest
+    over candidate links, whose 5-word shingle sets have at least that Jaccard
+    similarity.
+
+    Candidates differ in at most WORD_RADIUS bits of one of four word
+    fingerprints and in at most WORD_BITS of all 256; each trie task keeps a
+    minimum spanning forest of them, so near copies by the thousand cost no
+    pairs.  At a similarity of 0.8 an edit touches a word in 45, which turns 4
+    of 64 bits: one table finds 3 of 4 such pairs, the four miss 1 in 200."""
+    prints = materialize(_per_text(texts, "f0 long, f1 long, f2 long, f3 long", lambda words: tuple(word_simhash(words).tolist())))
+    names = [f"f{k}" for k in range(WORD_SEEDS)]
+    # Texts with the same fingerprints (reordered words) go with one of them.
+    groups = materialize(prints.groupBy(*names).agg(F.min("key").alias("ident")))
+    same = prints.join(groups, names).where("key <> ident").select(F.col("key").alias("a"), F.col("ident").alias("b"))
+
+    def cost(a: dict, b: dict) -> np.ndarray:
+        bits = sum(np.bitwise_count((a[n] ^ b[n]).astype(np.uint64)).astype(float) for n in names)
+        return np.where(bits <= WORD_BITS, bits, np.inf)
+
+    found = same
+    for n in names:
+        found = found.unionByName(links(groups.withColumn("fp", F.col(n)), WORD_RADIUS, ident="ident", extra=tuple(names), cost=cost))
+    found = materialize(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    involved = found.select(F.col("a").alias("key")).unionByName(found.select(F.col("b").alias("key"))).distinct()
+    sets = materialize(_per_text(texts.join(involved, "key"), "shingles array<long>", lambda words: (shingle_hashes(words),)))
+    a = sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa"))
+    b = sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
+    both = found.join(a, "a").join(b, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
+    return both.where(F.col("common") >= similarity * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b")
+
+
+def unique_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` with one document, of the least doc_id, of each group of exact
+    and near copies; columns and other rows as they are."""
+    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    ids = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key")))
+    first = ids.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), "text")
+    # Copies stay behind: one row for each distinct text.
+    texts = materialize(keyed.join(first, (keyed.key == first.key) & keyed.doc_id.eqNullSafe(first.doc_id), "left_semi").select("key", "text"))
+    root = components(similar_texts(texts, similarity))
+    rooted = first.join(root, first.key == root.node, "left").select("key", "doc_id", F.coalesce("root", "key").alias("root"))
+    kept = materialize(rooted.groupBy("root").agg(F.min("doc_id").alias("_id")).select("_id"))
+    out = docs.join(kept, docs.doc_id.cast("long").eqNullSafe(kept._id), "left_semi")
+    repeated = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
+    return out.dropDuplicates(["doc_id"]) if repeated else out

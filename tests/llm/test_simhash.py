@@ -105,7 +105,7 @@ def test_links_with_cut_subtrees(spark, monkeypatch):
     df = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in prints] + [(None,)], "fp long")
     for size, agree in ((10_000, 1), (16, 1), (16, 2)):
         monkeypatch.setattr(simhash, "SUBTREE", size)
-        got = [(r.fp % (1 << 64), r.to % (1 << 64)) for r in simhash.links(df, agree=agree).collect()]
+        got = [(r.a % (1 << 64), r.b % (1 << 64)) for r in simhash.links(df, agree=agree).collect()]
         assert all((a ^ b).bit_count() for a, b in got)
         assert forest_components(got, prints) == want
 
@@ -122,3 +122,35 @@ def test_edge_cases(spark):
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, fp string")
     assert result(simhash.near_duplicates(df)) == brute(rows)
     assert simhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def shingles(text, n=5):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))}
+
+
+def test_unique_documents(spark):
+    rng = random.Random(8)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=rng.randrange(2, 8))) for _ in range(3000)]
+    rows, group, n = [], {}, 0
+    for g in range(40):
+        base = rng.choices(vocabulary, k=rng.randrange(120, 300))
+        for _ in range(rng.choice([1, 1, 2, 6])):
+            w = list(base)
+            if rng.random() < 0.7:
+                for _ in range(max(1, len(w) // 100)):
+                    w[rng.randrange(len(w))] = rng.choice(vocabulary)
+            rows.append((n, " ".join(w)))
+            group[n] = g
+            n += 1
+    rows += [(500, None), (501, ""), (502, "a b"), (502, "a b"), (None, "null id text")]
+    texts = dict(rows)
+    df = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id long, text string, key int").repartition(3)
+    kept = [r.doc_id for r in simhash.unique_documents(df).collect()]
+    assert len(kept) == len(set(kept)) and {500, 502, None} <= set(kept) and 501 not in kept
+    # Brute force: components of Jaccard >= 0.8.
+    ids = list(group)
+    sets = {d: shingles(texts[d]) for d in ids}
+    want = forest_components([(a, b) for a in ids for b in ids if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])], ids)
+    assert sorted(min(g) for g in want) == sorted(d for d in kept if d in group)
+    assert simhash.unique_documents(df.limit(0)).count() == 0
