@@ -1,4 +1,458 @@
-"""Catalogue of the ledger queries."""
+"""The ledger's query catalogue on the supplied tables, with SQL for each query
+that SQL can express.  documents stand for the ledger (source: publisher, lang:
+type), pages for snapshots, events for the failure log, orders and lineitem for
+dated records, part for titles and keys."""
 
-QUERIES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from quillstone.functions import dates, text, urls
+from quillstone.operators import coverage, dedup, matching, rag, recovery
+from quillstone.sources import catalogues, html
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def query(name: str, sql: str | None = None):
+    """Registers f(t), where t(name) is a table."""
+
+    def register(f):
+        QUERIES[name] = lambda spark, sf_dir: f(lambda name: table(spark, sf_dir, name))
+        if sql:
+            ORACLE_SQL[name] = sql
+        return f
+
+    return register
+
+
+def day(c) -> F.Column:
+    return F.date_format(c, "yyyy-MM-dd")
+
+
+_HOST = r"lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1))"
+
+
+@query("q01_doc_identity", f"select page_id, substr(sha1({_HOST} || '|C1|' || url), 1, 16) as doc_id from pages")
+def _(t):
+    return t("pages").select("page_id", urls.doc_id(urls.host(F.col("url")), F.lit("C1"), F.col("url")).alias("doc_id"))
+
+
+@query("q02_normalize_url", r"select page_id, regexp_replace(regexp_replace(regexp_replace(lower(trim(url)), '^https?://', ''), '~[0-9a-z]+', '', 'g'), '/{2,}', '/', 'g') as url_norm from pages")
+def _(t):
+    return t("pages").select("page_id", urls.normalize_url(F.col("url")).alias("url_norm"))
+
+
+@query("q03_normalize_title", r"select page_id, trim(regexp_replace(lower(strip_accents(regexp_extract(html, '<title>([^<]*)</title>', 1))), '[^a-z0-9]+', ' ', 'g')) as title_norm from pages")
+def _(t):
+    titles = t("pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
+    return text.on_distinct(titles, "title", text.normalize_title, "title_norm").select("page_id", "title_norm")
+
+
+@query("q04_host_filter", f"select page_id, url from pages where {_HOST} = 'example.com' or {_HOST} like '%.example.com'")
+def _(t):
+    return t("pages").where(urls.host_matches(F.col("url"), F.lit("example.com"))).select("page_id", "url")
+
+
+@query("q05_content_dedup", "select sha256(text) as sha256, min(doc_id) as doc_id from documents group by text")
+def _(t):
+    return dedup.content_dedup(t("documents").select("doc_id", "text"), "text", "doc_id").select(F.sha2("text", 256).alias("sha256"), "doc_id")
+
+
+@query("q06_duplicate_groups", "select sha256(text) as sha256, count(*) as n, min(doc_id) as first_id from documents group by text having count(*) > 1")
+def _(t):
+    return dedup.duplicate_groups(t("documents"), "text", "doc_id")
+
+
+@query("q07_known_url_anti", "select c_custkey, c_name from customer c where not exists (select 1 from orders o where o.o_custkey = c.c_custkey)")
+def _(t):
+    return dedup.unknown(t("customer"), t("orders"), "c_custkey", "o_custkey").select("c_custkey", "c_name")
+
+
+@query("q08_known_source_anti", "select doc_id, source from documents d where not exists (select 1 from labels l where l.doc_id = d.doc_id)")
+def _(t):
+    return dedup.unknown(t("documents").select("doc_id", "source"), t("labels"), "doc_id", "doc_id")
+
+
+@query("q09_since_until", "select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day from orders where o_orderdate is null or o_orderdate between timestamp '1996-03-01' and timestamp '1998-09-02'")
+def _(t):
+    rows = dedup.since_until(t("orders"), "o_orderdate", F.lit("1996-03-01").cast("timestamp"), F.lit("1998-09-02").cast("timestamp"), True)
+    return rows.select("o_orderkey", day("o_orderdate").alias("day"))
+
+
+@query("q10_cap_per_year", "select o_orderkey, cast(year(o_orderdate) as int) as year from orders qualify row_number() over (partition by year(o_orderdate) order by o_orderkey) <= 100")
+def _(t):
+    return dedup.cap_per_group(t("orders").select("o_orderkey", F.year("o_orderdate").alias("year")), ["year"], ["o_orderkey"], 100)
+
+
+@query("q11_slug_date", "select o_orderkey, strftime(o_orderdate, '%y%m%d') as slug, case when strftime(o_orderdate, '%y') >= '90' then '19' else '20' end || strftime(o_orderdate, '%y-%m-%d') as day from orders")
+def _(t):
+    slug = F.date_format("o_orderdate", "yyMMdd")
+    return t("orders").select("o_orderkey", slug.alias("slug"), day(dates.slug_date(slug)).alias("day"))
+
+
+@query("q12_counts", "select source, lang, count(*) as n from documents group by source, lang")
+def _(t):
+    return t("documents").groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n"))
+
+
+_EXPECTED = "(values ('1-URGENT', 430), ('2-HIGH', 10), ('3-MEDIUM', null), ('5-LOW', 0))"
+_MATRIX = f"""with grid as (select p.o_orderpriority as bank_code, y.year from (select distinct o_orderpriority from orders) p, (select unnest(range(1994, 2003))::int as year) y),
+got as (select o_orderpriority, year(o_orderdate)::int as year, count(*)::int as n from orders group by all),
+m as (select g.bank_code, g.year, e.expected::int as expected, coalesce(n, 0)::int as downloaded from grid g left join got on got.o_orderpriority = g.bank_code and got.year = g.year
+  left join {_EXPECTED} e(bank_code, expected) on e.bank_code = g.bank_code),
+s as (select *, case when expected is null then case when downloaded > 0 then 'ok' else 'unknown' end when expected > 0 and downloaded >= expected then 'ok'
+  when downloaded = 0 then case when expected > 0 then 'missing' else 'unknown' end else 'partial' end as status from m)"""
+
+
+def _matrix(t) -> DataFrame:
+    orders = t("orders").select(F.col("o_orderpriority").alias("bank_code"), F.lit("D1").alias("doc_type"), F.year("o_orderdate").alias("year"))
+    spark = orders.sparkSession
+    expected = spark.createDataFrame([("1-URGENT", "D1", 430), ("2-HIGH", "D1", 10), ("3-MEDIUM", "D1", None), ("5-LOW", "D1", 0)], "bank_code string, doc_type string, expected int")
+    kinds = orders.select("bank_code", "doc_type").distinct()
+    return coverage.completeness(orders, coverage.grid(spark, kinds, kinds, list(range(1994, 2003))), expected)
+
+
+@query("q13_completeness_matrix", f"{_MATRIX} select bank_code, year, expected, downloaded, status from s")
+def _(t):
+    return _matrix(t).select("bank_code", "year", "expected", "downloaded", "status")
+
+
+@query("q14_status_summary", f"{_MATRIX} select status, count(*) as n from s group by status")
+def _(t):
+    return coverage.summary(_matrix(t))
+
+
+_LANGS = ["de", "en", "es", "fr"]
+
+
+@query("q15_inventory_crosstab", "select source, " + ", ".join(f"count(*) filter (lang = '{x}') as {x}" for x in _LANGS) + ", count(*) as total from documents group by source")
+def _(t):
+    return coverage.crosstab(t("documents"), "source", "lang", _LANGS)
+
+
+@query("q16_five_year_buckets", "select (year(o_orderdate) // 5 * 5)::int as bucket, count(*) as n from orders group by 1")
+def _(t):
+    return coverage.five_year_buckets(t("orders").select(F.year("o_orderdate").alias("year")))
+
+
+@query("q17_min_max_year", "select o_custkey, min(year(o_orderdate))::int as first_year, max(year(o_orderdate))::int as last_year, count(*) as n from orders group by o_custkey")
+def _(t):
+    y = F.year("o_orderdate")
+    return t("orders").groupBy("o_custkey").agg(F.min(y).alias("first_year"), F.max(y).alias("last_year"), F.count(F.lit(1)).alias("n"))
+
+
+@query("q18_percent_floor", "select source, 100 * count(*) filter (lang = 'en') // count(*) as percent from documents group by source")
+def _(t):
+    return t("documents").groupBy("source").agg(coverage.percent(F.count_if(F.col("lang") == "en"), F.count(F.lit(1))).alias("percent"))
+
+
+@query("q19_target_coverage", "select n_name as bank_code, (40 + n_nationkey)::int as target, coalesce(c.n, 0) as held, 100 * coalesce(c.n, 0) // (40 + n_nationkey) as percent from nation left join (select c_nationkey, count(*) as n from customer group by 1) c on c_nationkey = n_nationkey")
+def _(t):
+    names = t("nation").select("n_nationkey", F.col("n_name").alias("bank_code"))
+    held = t("customer").join(names, F.col("c_nationkey") == F.col("n_nationkey")).select("bank_code", F.lit("D1").alias("doc_type"))
+    return coverage.target_coverage(held, names.select("bank_code", (40 + F.col("n_nationkey")).cast("int").alias("target")))
+
+
+@query("q20_absent_dims", "select n_nationkey, n_name from nation n where not exists (select 1 from supplier s where s.s_nationkey = n.n_nationkey and s.s_acctbal > 8000)")
+def _(t):
+    return dedup.unknown(t("nation"), t("supplier").where("s_acctbal > 8000"), "n_nationkey", "s_nationkey").select("n_nationkey", "n_name")
+
+
+_PART = "select p_partkey, p_partkey as key, p_brand || '/' || p_type || '/' || p_size as url_norm, p_name || ' ' || p_brand as title_norm from part"
+_NATIVE = f"(select x.* from ({_PART}) x where exists (select 1 from lineitem l where l.l_partkey = x.p_partkey and l.l_returnflag = 'R' and l.l_quantity >= 48))"
+
+
+def _parts(t) -> tuple[DataFrame, DataFrame]:
+    parts = t("part").select("p_partkey", F.col("p_partkey").alias("key"), F.concat_ws("/", "p_brand", "p_type", F.col("p_size").cast("string")).alias("url_norm"), F.concat_ws(" ", "p_name", "p_brand").alias("title_norm"))
+    returned = t("lineitem").where("l_returnflag = 'R' and l_quantity >= 48").select(F.col("l_partkey").alias("p_partkey")).distinct()
+    return parts, parts.join(returned, "p_partkey", "left_semi").withColumnRenamed("p_partkey", "seq")
+
+
+@query("q21_match_cascade", f"""with l as ({_PART}), n as {_NATIVE},
+u as (select url_norm, min(p_partkey) as seq from n group by 1), ti as (select title_norm, min(p_partkey) as seq from n group by 1 having count(*) = 1)
+select l.p_partkey, case when n.p_partkey is not null then 'key' when u.seq is not null then 'url' when ti.seq is not null then 'title' end as match_type, coalesce(n.p_partkey, u.seq, ti.seq) as native_seq
+from l left join n on n.key = l.key left join u on u.url_norm = l.url_norm left join ti on ti.title_norm = l.title_norm""")
+def _(t):
+    left, native = _parts(t)
+    return matching.match_cascade(left, native, "p_partkey").select("p_partkey", "match_type", "native_seq")
+
+
+@query("q22_unique_title_only", f"select title_norm, min(p_partkey) as p_partkey from ({_PART}) group by 1 having count(*) = 1")
+def _(t):
+    return _parts(t)[0].groupBy("title_norm").agg(F.min("p_partkey").alias("p_partkey"), F.count(F.lit(1)).alias("n")).where("n = 1").drop("n")
+
+
+@query("q23_leftover", """with h as (select * from part where p_size >= 30)
+select p_partkey, case when exists (select 1 from h where h.p_brand || h.p_size = p.p_brand || p.p_size) then 'handle' when exists (select 1 from h where h.p_type || h.p_name || h.p_size = p.p_type || p.p_name || p.p_size) then 'key'
+  when exists (select 1 from h where h.p_name = p.p_name) then 'title' else '' end as tier from part p""")
+def _(t):
+    rows = t("part").select("p_partkey", "p_size", F.concat("p_brand", F.col("p_size").cast("string")).alias("handle"), F.concat("p_type", "p_name", F.col("p_size").cast("string")).alias("key"), F.col("p_name").alias("title_norm"))
+    return matching.coverage_tiers(rows, rows.where("p_size >= 30")).select("p_partkey", F.coalesce("tier", F.lit("")).alias("tier"))
+
+
+_CANDIDATES = """with k as (select c_custkey, c_nationkey as bank, floor(c_acctbal / 500)::bigint as key from customer),
+s as (select s_suppkey, s_nationkey as bank, floor(s_acctbal / 500)::bigint as key from supplier),
+c as (select k.c_custkey, k.bank, count(s_suppkey) as n, min(s_suppkey) as s_suppkey from k left join s on s.bank = k.bank and s.key = k.key group by 1, 2)"""
+
+
+@query("q24_ambiguity_class", f"{_CANDIDATES} select c_custkey, case when n = 0 then 'unmatched' when n = 1 then 'candidate' else 'ambiguous' end as kind from c")
+def _(t):
+    key = lambda c: F.floor(F.col(c) / 500).alias("key")
+    k = t("customer").select("c_custkey", F.col("c_nationkey").alias("bank"), key("c_acctbal"))
+    n = t("supplier").groupBy(F.col("s_nationkey").alias("bank"), key("s_acctbal")).agg(F.count(F.lit(1)).alias("n"))
+    kind = F.when(F.col("n").isNull(), "unmatched").when(F.col("n") == 1, "candidate").otherwise("ambiguous")
+    return k.join(n, ["bank", "key"], "left").select("c_custkey", kind.alias("kind"))
+
+
+@query("q25_reverse_claim", f"""{_CANDIDATES} select c_custkey, case when n = 0 then 'unmatched' when n > 1 then 'ambiguous' when c_custkey = min(c_custkey) filter (n = 1) over (partition by bank, s_suppkey) then 'stamp' else 'ambiguous' end as action,
+case when n = 1 then s_suppkey::varchar end as doc_id from c""")
+def _(t):
+    key = lambda c: F.floor(F.col(c) / 500).cast("string").alias("key")
+    none = lambda *names: [F.lit(None).cast("string").alias(n) for n in names]
+    entries = t("customer").select(F.col("c_nationkey").alias("bank"), F.col("c_custkey").alias("listing_pos"), F.col("c_name").alias("page_url"), key("c_acctbal"), *none("handle", "title_norm"))
+    ledger = t("supplier").select(F.col("s_nationkey").alias("bank"), F.col("s_suppkey").cast("string").alias("doc_id"), F.lit("").alias("source_url"), key("s_acctbal"), *none("handle", "title_norm"))
+    return matching.reconcile(entries, ledger).select(F.col("listing_pos").alias("c_custkey"), "action", "doc_id")
+
+
+@query("q26_native_only", f"select p_partkey from part p where not exists (select 1 from {_NATIVE} n where n.key = p.p_partkey)")
+def _(t):
+    left, native = _parts(t)
+    return left.join(native, "key", "left_anti").select("p_partkey")
+
+
+@query("q27_alias_longest", """with l as (select distinct p_name as label from part union select distinct split_part(p_name, ' ', 1) from part union select distinct split_part(p_name, ' ', 2) from part)
+select p_partkey, max_by(label, (length(label), label)) as label from part join l on contains(p_type || ' ' || p_name, label) and label <> '' group by p_partkey""")
+def _(t):
+    p = t("part")
+    word = lambda k: p.select(F.split_part("p_name", F.lit(" "), F.lit(k)).alias("label_norm"))
+    labels = p.select(F.col("p_name").alias("label_norm")).unionByName(word(1)).unionByName(word(2)).select("label_norm", F.col("label_norm").alias("primary_label"))
+    texts = p.select("p_partkey", F.concat_ws(" ", "p_type", "p_name").alias("text_norm"))
+    return matching.longest_label(texts, labels).select("p_partkey", F.col("label_norm").alias("label"))
+
+
+_LINKS = "select page_id, unnest(range(0, len(l)))::int as pos, unnest(l) as href from (select page_id, regexp_extract_all(html, 'href=\"([^\"]*)\"', 1) as l from pages)"
+
+
+def _links(t) -> DataFrame:
+    return t("pages").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))).alias("pos", "href"))
+
+
+@query("q28_link_extract", _LINKS)
+def _(t):
+    return _links(t)
+
+
+@query("q29_first_link_pref", f"select page_id, min_by(href, (case when starts_with(href, 'http') then 0 else 1 end, pos)) as href from ({_LINKS}) group by page_id")
+def _(t):
+    order = F.struct(F.when(F.startswith("href", F.lit("http")), 0).otherwise(1), "pos")
+    return _links(t).groupBy("page_id").agg(F.min_by("href", order).alias("href"))
+
+
+@query("q30_page_title_meta", """select page_id, case when h <> '' then h when ti <> '' then ti else '(untitled)' end as title, length(ti) as title_chars from (select page_id, regexp_extract(html, '<h1>([^<]*)</h1>', 1) as h, regexp_extract(html, '<title>([^<]*)</title>', 1) as ti from pages)""")
+def _(t):
+    h, ti = F.regexp_extract("html", "<h1>([^<]*)</h1>", 1), F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    title = F.coalesce(F.nullif(h, F.lit("")), F.nullif(ti, F.lit("")), F.lit("(untitled)"))
+    return t("pages").select("page_id", title.alias("title"), F.length(ti).cast("long").alias("title_chars"))
+
+
+@query("q31_stop_on_known", """with i as (select user_id, event_id, value < 8 as new, row_number() over (partition by user_id order by event_id) as nth from events),
+p as (select *, (nth - 1) // 4 as page from i), s as (select user_id, min(page) as stop from (select user_id, page from p group by all having not bool_or(new)) group by 1)
+select p.user_id, event_id, p.page::int as page from p left join s using (user_id) where new and nth <= 50 and (stop is null or page <= stop)""")
+def _(t):
+    w = Window.partitionBy("user_id").orderBy("event_id")
+    items = t("events").select(F.col("user_id").alias("series"), F.floor((F.row_number().over(w) - 1) / 4).cast("int").alias("page"), F.col("event_id").alias("pos"), F.col("event_id").alias("url"))
+    known = t("events").where("value >= 8").select(F.col("event_id").alias("url"))
+    return dedup.incremental_listing(items, known, cap=50).select(F.col("series").alias("user_id"), F.col("url").alias("event_id"), "page")
+
+
+@query("q32_month_text_date", "select o_orderkey, strftime(o_orderdate, '%B %-d, %Y') as text, strftime(o_orderdate, '%Y-%m-%d') as day, 'day' as precision from orders")
+def _(t):
+    out = t("orders").select("o_orderkey", F.date_format("o_orderdate", "MMMM d, yyyy").alias("text"))
+    found = dates.month_text_date(F.col("text"))
+    return out.select("o_orderkey", "text", day(found["date"]).alias("day"), found["precision"].alias("precision"))
+
+
+@query("q33_flat_records", "select vec_id, unnest(range(0, len(embedding) // 8))::int as pos, 8 as width from embeddings")
+def _(t):
+    records = catalogues.flat_records(F.col("embedding"), F.lit(8))
+    return t("embeddings").select("vec_id", F.posexplode(records).alias("pos", "record")).select("vec_id", "pos", F.size("record").alias("width"))
+
+
+_LINES = "select l_orderkey, l_linenumber, l_returnflag, l_linestatus, l_shipdate, o_orderdate, (date_trunc('month', l_shipdate) = date_trunc('month', o_orderdate) and day(l_shipdate) <> 1)::int as ok from lineitem join orders on o_orderkey = l_orderkey"
+
+
+def _lines(t) -> DataFrame:
+    rows = t("lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", F.to_date("l_shipdate").alias("shipped"))
+    rows = rows.join(t("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.to_date("o_orderdate").alias("ordered")), "l_orderkey")
+    return rows.withColumn("ok", dates.month_ok(F.col("shipped"), F.col("ordered")).cast("int"))
+
+
+@query("q34_month_constraint", f"select l_orderkey, l_linenumber, ok from ({_LINES})")
+def _(t):
+    return _lines(t).select("l_orderkey", "l_linenumber", "ok")
+
+
+@query("q35_date_waterfall", f"""select l_orderkey, strftime(coalesce(min(l_shipdate) filter (ok = 1 and l_returnflag = 'R'), min(l_shipdate) filter (ok = 1 and l_linestatus = 'O'), any_value(o_orderdate)), '%Y-%m-%d') as day,
+case when bool_or(ok = 1 and l_returnflag = 'R') then 'pdf_meta' when bool_or(ok = 1 and l_linestatus = 'O') then 'wayback' else 'repec' end as source from ({_LINES}) group by l_orderkey""")
+def _(t):
+    pdf, archive = (F.min(F.when((F.col("ok") == 1) & rung, F.col("shipped"))) for rung in (F.col("l_returnflag") == "R", F.col("l_linestatus") == "O"))
+    found = _lines(t).groupBy("l_orderkey").agg(pdf.alias("pdf"), archive.alias("archive"), F.min("ordered").alias("ordered"))
+    source = F.when(F.col("pdf").isNotNull(), "pdf_meta").when(F.col("archive").isNotNull(), "wayback").otherwise("repec")
+    return found.select("l_orderkey", day(F.coalesce("pdf", "archive", "ordered")).alias("day"), source.alias("source"))
+
+
+@query("q36_berlin_day", "select event_id, strftime(timezone('Europe/Berlin', timezone('UTC', ts)), '%Y-%m-%d') as day from events")
+def _(t):
+    return t("events").select("event_id", day(dates.berlin_day(F.unix_timestamp("ts"))).alias("day"))
+
+
+@query("q37_update_rails", """select o_orderkey as doc_id, strftime(coalesce(s, o_orderdate), '%Y-%m-%d') as day, year(coalesce(s, o_orderdate))::int as year, case when s is null then 'repec' else 'bank_site' end as date_source
+from orders left join (select l_orderkey, min(l_shipdate) as s from lineitem where l_returnflag = 'R' group by 1) on l_orderkey = o_orderkey""")
+def _(t):
+    ledger = t("orders").select(F.col("o_orderkey").alias("doc_id"), F.to_date("o_orderdate").alias("date"), F.lit("month").alias("date_precision"), F.lit("repec").alias("date_source"), F.lit("").alias("repec_handle"), F.lit(None).cast("array<string>").alias("alt_urls"), F.year("o_orderdate").alias("year"))
+    changes = t("lineitem").where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.to_date(F.min("l_shipdate")).alias("new_date"))
+    changes = changes.withColumns({"date_precision": F.lit(None).cast("string"), "repec_handle": F.lit(""), "alt_url": F.lit(None).cast("string")})
+    return matching.apply_changes(ledger, changes).select("doc_id", day("date").alias("day"), "year", "date_source")
+
+
+def _proposals(t) -> tuple[DataFrame, DataFrame]:
+    p = t("part").select(F.col("p_brand").alias("bank"), "p_partkey", "p_size", F.concat_ws(" ", "p_name", "p_type", F.col("p_size").cast("string")).alias("title_norm"))
+    wanted = p.where("p_size >= 40").select("bank", F.col("p_partkey").alias("listing_pos"), "title_norm")
+    return wanted, p.where("p_size < 40").select("bank", F.col("p_partkey").alias("doc_id"), F.col("p_partkey").alias("seq"), "title_norm")
+
+
+@query("q38_propose_topk")
+def _(t):
+    return matching.propose(*_proposals(t))
+
+
+@query("q39_levenshtein_topk", """with p as (select p_brand as bank, p_partkey, p_size, p_name || ' ' || p_type || ' ' || p_size as title from part)
+select a.p_partkey as listing_pos, b.p_partkey as doc_id, levenshtein(a.title, b.title)::int as distance from p a join p b on a.bank = b.bank and a.p_size >= 40 and b.p_size < 40
+qualify row_number() over (partition by a.p_partkey order by levenshtein(a.title, b.title), b.p_partkey) <= 3""")
+def _(t):
+    wanted, pool = _proposals(t)
+    pairs = wanted.join(pool.withColumnRenamed("title_norm", "other"), "bank").withColumn("distance", F.levenshtein("title_norm", "other"))
+    return dedup.cap_per_group(pairs, ["listing_pos"], ["distance", "doc_id"], 3).select("listing_pos", "doc_id", "distance")
+
+
+@query("q40_apply_guards")
+def _(t):
+    e = t("events")
+    rows = e.select(F.col("event_id").alias("line"), F.col("event_type").alias("bank"), F.concat(F.when(F.col("value") > 60, "http://other/").otherwise("https://pages.example/"), F.get_json_object("props", "$.k")).alias("page_url"), F.col("user_id").cast("string").alias("doc_id"), F.when(F.col("value") > 2, " X ").otherwise("no").alias("approve"))
+    ledger = e.groupBy(F.col("event_type").alias("bank"), F.col("user_id").cast("string").alias("doc_id")).agg(F.max("value").alias("v"))
+    ledger = ledger.where("v > 12").select("bank", "doc_id", F.when(F.col("v") > 90, "C1").otherwise("D1").alias("doc_type"), F.when(F.col("v") < 30, F.concat(F.lit("https://pages.example/s"), "doc_id")).alias("source_url"))
+    return matching.apply_approved(rows, ledger, "https://pages.example/")
+
+
+@query("q41_latest_failure", "select user_id, event_type, max_by(event_id, (ts, event_id)) as event_id from events group by 1, 2")
+def _(t):
+    return t("events").groupBy("user_id", "event_type").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
+
+
+@query("q42_recovery_class", """with f as (select event_id, 's' || user_id as src, 'k' || json_extract_string(props, '$.k') as alt from events where event_type = 'error'),
+s as (select distinct 's' || user_id as src from events where event_type = 'signup' and value > 30),
+u as (select distinct 'k' || json_extract_string(props, '$.k') as alt from events where event_type = 'purchase' and value > 40),
+c as (select 'k' || json_extract_string(props, '$.k') as alt, max(strftime(ts, '%Y%m%d%H%M%S')) as stamp from events where event_type = 'view' and value > 20 group by 1)
+select event_id, case when s.src is not null or u.alt is not null then 'converged' when c.alt is null then 'unrecoverable' else 'recoverable' end as action,
+case when s.src is null and u.alt is null then c.stamp end as snapshot_ts from f left join s using (src) left join u using (alt) left join c using (alt)""")
+def _(t):
+    e = t("events").withColumn("k", F.concat(F.lit("k"), F.get_json_object("props", "$.k"))).withColumn("s", F.concat(F.lit("s"), F.col("user_id").cast("string")))
+    none = F.lit(None).cast("string")
+    failures = e.where("event_type = 'error'").select("event_id", F.concat(F.lit("u"), F.col("event_id").cast("string")).alias("pdf_url"), F.array("k").alias("alt_urls"), F.col("s").alias("source_url"))
+    signed = e.where("event_type = 'signup' and value > 30").select(none.alias("pdf_url"), F.lit(None).cast("array<string>").alias("alt_urls"), F.col("s").alias("source_url"))
+    bought = e.where("event_type = 'purchase' and value > 40").select(F.col("k").alias("pdf_url"), F.lit(None).cast("array<string>").alias("alt_urls"), none.alias("source_url"))
+    captures = e.where("event_type = 'view' and value > 20").select(F.col("k").alias("original"), F.date_format("ts", "yyyyMMddHHmmss").alias("stamp"))
+    fresh = failures.select("pdf_url", F.lit(None).cast("array<string>").alias("candidates"))
+    return recovery.classify_failures(failures, signed.unionByName(bought), captures, fresh).select("event_id", "action", "snapshot_ts")
+
+
+@query("q43_chunking")
+def _(t):
+    out = rag.chunked(t("documents").select("doc_id", "text"))
+    return out.select("doc_id", "chunk_index", "chunk_id", F.length("chunk").alias("n_chars"), F.sha2("chunk", 256).alias("chunk_sha256"))
+
+
+@query("q44_rag_filter", "select doc_id, lang, source, n_chars from documents where lang = 'en' and source in ('src1', 'src2', 'src10') and n_chars >= 1000")
+def _(t):
+    return rag.retrieve(t("documents"), {"lang": "en"}, {"source": ["src1", "src2", "src10"]}, {"n_chars": 1000}).select("doc_id", "lang", "source", "n_chars")
+
+
+@query("q45_changed_docs", "select doc_id, sha256(text) as sha256 from documents d where not exists (select 1 from documents i where i.doc_id = d.doc_id and sha256(lower(i.text)) = sha256(d.text))")
+def _(t):
+    docs = t("documents")
+    now = docs.select("doc_id", F.sha2("text", 256).alias("sha256"))
+    return rag.changed(now, docs.select("doc_id", F.sha2(F.lower("text"), 256).alias("sha256")))
+
+
+@query("q46_audit_by_window", "select strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') as start, event_type, count(*) as n from events group by 1, 2")
+def _(t):
+    w = t("events").groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return w.select(F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n")
+
+
+@query("q47_save_decisions", """with r as (select event_id as seq, user_id as doc_id, case when event_type <> 'error' then event_type || floor(value)::int end as sha from events),
+k as (select *, min(seq) filter (sha is not null) over (partition by doc_id) as first_seq from r),
+e as (select *, case when seq > first_seq then 'exists' when sha is null then 'download_failed' end as st from k),
+c as (select *, min(seq) filter (st is null) over (partition by sha) as claim from e)
+select seq, coalesce(st, case when seq > claim then 'duplicate_content' else 'saved' end) as status from c""")
+def _(t):
+    e = t("events")
+    sha = F.when(F.col("event_type") != "error", F.concat("event_type", F.floor("value").cast("string")))
+    rows = e.select(F.col("event_id").alias("seq"), F.col("user_id").cast("string").alias("doc_id"), sha.alias("sha256"))
+    return dedup.save_decisions(rows, rows.limit(0)).select("seq", "status")
+
+
+@query("q48_page_links")
+def _(t):
+    return html.page_links(t("pages").select("url", "html"))
+
+
+@query("q49_page_metas")
+def _(t):
+    return html.page_metas(t("pages").select("url", "html")).select("page_url", "page_title", day("published").alias("published"), "og_title")
+
+
+@query("q50_pdf_candidates")
+def _(t):
+    return html.pdf_candidates(t("pages").select("url", "html"), F.lit("example.com"))
+
+
+@query("q51_url_variants", "select page_id, [url || '/a/pap.pdf', url || '/a/abs.html', url] as variants from pages")
+def _(t):
+    return t("pages").select("page_id", urls.url_variants(F.concat("url", F.lit("/a/pap.pdf")), F.array(F.col("url"), F.lit(""))).alias("variants"))
+
+
+@query("q52_landing_choice", """select l_orderkey, l_linenumber, strftime(case when date_trunc('month', l_shipdate) = date_trunc('month', o_orderdate) then l_shipdate else date_trunc('month', o_orderdate) end, '%Y-%m-%d') as day,
+case when date_trunc('month', l_shipdate) = date_trunc('month', o_orderdate) then 'day' else 'month' end as precision from lineitem join orders on o_orderkey = l_orderkey""")
+def _(t):
+    choice = dates.landing_choice(F.col("shipped"), F.col("ordered"))
+    return _lines(t).select("l_orderkey", "l_linenumber", day(choice["date"]).alias("day"), choice["precision"].alias("precision"))
+
+
+@query("q53_institution_key")
+def _(t):
+    return text.on_distinct(t("benchmark"), "text", text.normalize_institution, "key").select("item_id", F.sha2("key", 256).alias("key_sha256"))
+
+
+def coverage_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship: documents by source and language after identity and content
+    dedup, held against expectations, with a status."""
+    docs = table(spark, sf_dir, "documents")
+    unique = dedup.content_dedup(docs.select("doc_id", "text", "source", "lang"), "text", "doc_id")
+    ledger = unique.select(F.col("source").alias("bank_code"), F.col("lang").alias("doc_type"), F.lit(0).alias("year"))
+    kinds = docs.select(F.col("source").alias("bank_code"), F.col("lang").alias("doc_type")).distinct()
+    expected = spark.createDataFrame([("src0", "en", 4), ("src1", "en", 8), ("src2", "de", 0)], "bank_code string, doc_type string, expected int")
+    grid = kinds.withColumn("year", F.lit(0))
+    labelled = docs.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi").groupBy(F.col("source").alias("bank_code"), F.col("lang").alias("doc_type")).agg(F.count(F.lit(1)).alias("labelled"))
+    out = coverage.completeness(ledger, grid, expected).join(labelled, ["bank_code", "doc_type"], "left")
+    return out.select("bank_code", "doc_type", "expected", "downloaded", "status", F.coalesce("labelled", F.lit(0)).alias("labelled")).orderBy("bank_code", "doc_type")
