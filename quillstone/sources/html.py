@@ -28,6 +28,7 @@ class Page(HTMLParser):
         self.times: list[str] = []
         self.inputs: list[tuple[str, str]] = []
         self.rows: list[list[str]] = []
+        self.row_links: list[list[str]] = []
         self.snippets: list[str] = []
         self.title = self.h1 = ""
         self._href: str | None = None
@@ -48,6 +49,8 @@ class Page(HTMLParser):
         if tag == "a" and "href" in a:
             self._end_link()
             self._href, self._text["a"] = a["href"], []
+            if self.row_links:
+                self.row_links[-1].append(a["href"])
         elif tag == "meta" and a.get("content", "").strip():
             self.metas.append(((a.get("name") or a.get("property") or "").lower(), a["content"].strip()))
         elif tag == "time" and a.get("datetime"):
@@ -56,6 +59,7 @@ class Page(HTMLParser):
             self.inputs.append((a.get("name", ""), a.get("value", "")))
         elif tag == "tr":
             self.rows.append([])
+            self.row_links.append([])
         elif tag in ("td", "th") and self.rows:
             self.rows[-1].append("")
             self._text["cell"] = []
@@ -155,6 +159,32 @@ def table_rows(pages: DataFrame, url: str = "url", body: str = "html") -> DataFr
     return _parse(pages, url, body, of, "page_url string, pos int, cells array<string>", [pa.string(), pa.int32(), pa.list_(pa.string())])
 
 
+def table_papers(pages: DataFrame, pattern: str, url: str = "url", body: str = "html") -> DataFrame:
+    """page_url, pos, date, date_precision, title, link_url of table rows with a
+    link that matches: the date is in the first cell that has one, the title is
+    the longest cell, whatever the columns are."""
+
+    def of(u: str, h: str) -> list[tuple]:
+        p, seen, out = Page(h), set(), []
+        for k, (cells, hrefs) in enumerate(zip(p.rows, p.row_links)):
+            link = next((x for x in hrefs if re.search(pattern, x, re.I)), None)
+            if link and cells and (full := urljoin(u, link)) not in seen:
+                seen.add(full)
+                out.append((k, cells, full))
+        return out
+
+    rows = _parse(pages, url, body, of, "page_url string, pos int, cells array<string>, link_url string", [pa.string(), pa.int32(), pa.list_(pa.string()), pa.string()])
+    found = F.filter(F.transform("cells", dates.month_text_date), lambda d: d.isNotNull())
+    title = F.element_at(F.array_sort("cells", lambda a, b: F.length(b) - F.length(a)), 1)
+    return rows.select("page_url", "pos", F.get(found, 0)["date"].alias("date"), F.get(found, 0)["precision"].alias("date_precision"), title.alias("title"), "link_url")
+
+
+def page_count(pages: DataFrame, pattern: str = r"pageNumString=(\d+)", most: int = 300, body: str = "html") -> DataFrame:
+    """last_page that the pages of a result list link to, ``most`` at most."""
+    numbers = F.transform(F.regexp_extract_all(_body(pages, body), F.lit(pattern), F.lit(1)), lambda x: x.cast("int"))
+    return pages.agg(F.least(F.max(F.array_max(numbers)), F.lit(most)).alias("last_page"))
+
+
 def include_snippets(pages: DataFrame, url: str = "url", body: str = "html") -> DataFrame:
     """page_url, pos, include_url: the lazily loaded parts an index page names."""
     of = lambda u, h: [(k, urljoin(u, s)) for k, s in enumerate(Page(h).snippets)]
