@@ -1,0 +1 @@
+"""Query plans."""

@@ -1,7 +1,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from quillstone.plans.catalogue import ORACLE_SQL, QUERIES
+from quillstone.plans.all import ORACLE_SQL, QUERIES
 from tests.oracle import compare, connect
 
 
