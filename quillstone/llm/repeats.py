@@ -4,23 +4,22 @@
 1. Anchors.  Every window has a least hashed 32-byte gram, its anchor (the
    leftmost, on ties).  Equal windows have equal anchors at the same offset, so
    a window whose anchor occurs once is unique.  An anchor occurrence stands
-   for the context that its windows can reach: 168 bytes before it, 200 from
-   it on.  About 1.2 % of the positions are anchors.
+   for the context that the windows it governs cover, which follow one another.
+   About 1.2 % of the positions are anchors.
 2. Counting.  Contexts are grouped by (anchor, content).  A context that occurs
    twice is covered whole; groups of copies end here, in a partial aggregate,
    however large they are.  Anchors with several contexts go on, one
    representative for each.
-3. Index.  Windows are aligned on the anchor, so those that begin within 34
-   given offsets share a core of 167 bytes.  Contexts are dealt to tasks by
-   core.  A task concatenates its pieces, with a mark at the anchor, sorts
-   their suffixes and builds the run-compressed Burrows-Wheeler transform.
-   Longest common prefixes are computed at run ends only, the samples of the
-   index; matching statistics stream from them along the text, one less for
-   each position up to the next sample.  Where they reach the window's length,
-   the window occurs in another piece.
-4. Cores that more than ``BIG`` contexts share (a line of 167 to 199 bytes in a
-   large part of a corpus) are not indexed in one task: their windows, 34 each,
-   are counted by a 128-bit hash, in a partial aggregate.
+3. Index.  Contexts are dealt to tasks by anchor.  A task concatenates its
+   pieces, with a mark at the anchor, sorts their suffixes and builds the
+   run-compressed Burrows-Wheeler transform.  Longest common prefixes are
+   computed at run ends only, the samples of the index; matching statistics
+   stream from them along the text, one less for each position up to the next
+   sample.  Where they reach the window's length, the window occurs in another
+   piece.
+4. Anchors with more than ``BIG`` contexts (a line in a large part of a corpus)
+   are not indexed in one task: the windows that they govern are counted by a
+   128-bit hash, in a partial aggregate.
 5. The spans of each text are united and cut out.
 
 Texts are named by two 64-bit hashes; copies are cut once.
@@ -46,11 +45,12 @@ from .common import byte_slices, column, flat_bytes, materialize, ragged
 WINDOW = 200
 GRAM = 32
 SPREAD = WINDOW - GRAM  # bytes of context before an anchor
-STEP = 34  # window offsets that share a core
-BIG = 20_000
+BIG = 4_000
 SLICE_BYTES = 1 << 18
-INDEX_BYTES = 1 << 21
+INDEX_BYTES = 1 << 20
 MARK = 255
+#: Three ranks to a sort key, up to this many suffixes.
+TRIPLE = 1 << 21
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
 
 
@@ -67,13 +67,14 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, position, gram hash) of the anchors of texts in one buffer that
-    ``offsets``, from 0, cut it into."""
+def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, position, gram hash, far, near) of the anchors of texts in one
+    buffer that ``offsets``, from 0, cut it into; the windows that an anchor
+    governs begin far, far - 1 ... near bytes before it."""
     none = np.zeros(0, np.int64)
     lens = np.diff(offsets)
     if len(data) < WINDOW or lens.max() < WINDOW:
-        return none, none, none.astype(np.uint64)
+        return none, none, none.astype(np.uint64), none, none
     h = gram_hashes(data)
     # The key's low bits hold the position: equal hashes give the leftmost.
     wide = np.uint64(max(1, int(len(h)).bit_length()))
@@ -88,9 +89,11 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     long = np.flatnonzero(lens >= WINDOW)
     starts = ragged(offsets[:-1][long], lens[long] - WINDOW + 1)
     at = (m[starts] & low).astype(np.int64)
-    at = at[np.concatenate([[True], at[1:] != at[:-1]])]
+    edge = np.flatnonzero(at[1:] != at[:-1])
+    first, last = np.concatenate([[0], edge + 1]), np.concatenate([edge, [len(at) - 1]])
+    at, far, near = at[first], at[first] - starts[first], at[first] - starts[last]
     text = np.searchsorted(offsets, at, side="right") - 1
-    return text, at - offsets[text], h[at]
+    return text, at - offsets[text], h[at], far, near
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,20 +104,18 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j in byte_slices(all_offsets, SLICE_BYTES):
             offsets = all_offsets[i : j + 1]
             own = data[offsets[0] : offsets[-1]]
-            text, pos, gram = anchors(own, offsets - offsets[0])
+            text, pos, gram, far, near = anchors(own, offsets - offsets[0])
             if not len(text):
                 continue
-            start = (offsets - offsets[0])[:-1][text]
-            before = np.minimum(pos, SPREAD)
-            to = np.minimum(start + pos + WINDOW, (offsets - offsets[0])[1:][text])
+            at = (offsets - offsets[0])[:-1][text] + pos
             raw = own.tobytes()
-            context = np.fromiter([digest(raw[a:z], n) for a, z, n in zip((start + pos - before).tolist(), to.tolist(), before.tolist())], np.uint64, len(text))
-            yield pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int64)), pa.array(context.astype(np.int64)), pa.array(k1[i:j][text]), pa.array(k2[i:j][text]), pa.array(pos.astype(np.int32))], names=["anchor", "context", "k1", "k2", "pos"])
+            context = np.fromiter([digest(raw[a:z], n) for a, z, n in zip((at - far).tolist(), (at - near + WINDOW).tolist(), far.tolist())], np.uint64, len(text))
+            yield pa.RecordBatch.from_arrays([pa.array(gram.astype(np.int64)), pa.array(context.astype(np.int64)), pa.array(k1[i:j][text]), pa.array(k2[i:j][text]), *(pa.array(x.astype(np.int32)) for x in (pos, far, near))], names=["anchor", "context", "k1", "k2", "pos", "far", "near"])
 
 
 def suffix_order(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Suffix array of pieces, each ended by a 0, in one buffer; equal suffixes
-    keep the order of their pieces.  Prefix doubling on ranks, from 8 bytes."""
+    keep the order of their pieces.  Ranks of 8 bytes, then of ever longer prefixes."""
     n = len(text)
     padded = np.concatenate([text, np.zeros(8, np.uint8)])
     ends = np.repeat(np.append(starts[1:], n), np.diff(np.append(starts, n)))
@@ -123,21 +124,26 @@ def suffix_order(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
     for k in range(8):
         key = (key << np.uint64(8)) | np.where(inside, padded[k : k + n], 0).astype(np.uint64)
         inside &= padded[k : k + n] != 0
-    order = np.argsort(key, kind="stable")
-    new = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
-    rank = np.empty(n, np.int64)
-    rank[order] = new
+    rank = _ranks(key)
     h, at = 8, np.arange(n)
     longest = int(np.diff(np.append(starts, n)).max()) if len(starts) else 0
-    while h < longest and int(new[-1]) < n - 1:
-        second = np.where(at + h < ends, rank[np.minimum(at + h, n - 1)] + 1, 0)
-        pair = rank * np.int64(n + 1) + second
-        order = np.argsort(pair, kind="stable")
-        new = np.concatenate([[0], np.cumsum(pair[order][1:] != pair[order][:-1])])
-        rank = np.empty(n, np.int64)
-        rank[order] = new
-        h *= 2
-    return order
+    while h < longest and int(rank.max()) < n - 1:
+        key = rank
+        # Prefixes of triple length in a round while three ranks fit in a key.
+        for k in (1, 2) if n < TRIPLE else (1,):
+            later = np.where(at + k * h < ends, rank[np.minimum(at + k * h, n - 1)] + 1, 0)
+            key = key * np.int64(n + 1) + later
+        rank = _ranks(key)
+        h *= 3 if n < TRIPLE else 2
+    return np.argsort(rank * np.int64(n) + at)
+
+
+def _ranks(key: np.ndarray) -> np.ndarray:
+    order = np.argsort(key)
+    own = key[order]
+    rank = np.empty(len(key), np.int64)
+    rank[order] = np.concatenate([[0], np.cumsum(own[1:] != own[:-1])])
+    return rank
 
 
 def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -194,103 +200,87 @@ class RunIndex:
         by = np.argsort(order[rows])
         return order[rows][by], value[by]
 
-    def matching_statistics(self, lo: int, hi: int) -> np.ndarray:
-        """For text positions lo to hi: the longest match that starts there and
-        occurs at another position too."""
-        at, out = np.arange(lo, hi), np.zeros(hi - lo, np.int64)
+    def matching_statistics(self, at: np.ndarray) -> np.ndarray:
+        """For text positions: the longest match that starts there and occurs
+        at another position too."""
+        out = np.zeros(len(at), np.int64)
         for pos, value in self.samples:
             k = np.searchsorted(pos, at, side="right") - 1
             out = np.maximum(out, value[k] - (at - pos[k]))
         return out
 
 
-def piece_of(text: bytes, pos: int, x: int) -> tuple[bytes, int] | None:
-    """(piece, bytes before the mark) of an anchor for windows that begin x to
-    x + STEP - 1 bytes before it; None where no such window fits."""
-    before = min(pos, SPREAD, x + STEP - 1)
-    after = min(len(text) - pos, WINDOW - x)
-    if before < x or before + after < WINDOW:
-        return None
-    return text[pos - before : pos] + b"\xfe" + text[pos : pos + after], before
-
-
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts with their representatives (pos, anchor, solo) to pieces by core."""
-    names = ["core", "k1", "k2", "pos", "x", "before", "solo", "piece"]
+    """Texts with their representatives to pieces: the context of each, with
+    the mark in front of its anchor."""
+    names = ["anchor", "k1", "k2", "pos", "far", "near", "solo", "piece"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
     rows: list = []
-    size = 0
     for b in batches:
         for k1, k2, text, found in zip(column(b, "k1").to_pylist(), column(b, "k2").to_pylist(), column(b, "text").cast(pa.binary()).to_pylist(), column(b, "found").to_pylist()):
             for f in found:
-                if not f["rep"]:
-                    continue
-                for x in range(0, SPREAD + 1, STEP):
-                    if (p := piece_of(text, f["pos"], x)) is not None:
-                        piece, before = p
-                        core = xxhash.xxh3_64_intdigest(piece[before - x : before + 1 + WINDOW - STEP + 1 - x], x)
-                        rows.append((core - (1 << 64) if core >> 63 else core, k1, k2, f["pos"], x, before, f["solo"], piece))
-                        size += 300
-            if size > 4_000_000:
+                if f["rep"]:
+                    pos, far, near = f["pos"], f["far"], f["near"]
+                    rows.append((f["anchor"], k1, k2, pos, far, near, f["solo"], text[pos - far : pos] + b"\xfe" + text[pos : pos - near + WINDOW]))
+            if len(rows) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
-                rows, size = [], 0
+                rows = []
     if rows:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces, sorted by core, to (k1, k2, pos, far, near): the farthest and the
-    nearest offset before the anchor at which a repeated window begins."""
+    """Pieces, sorted by anchor, to (k1, k2, pos, far, near): the farthest and
+    the nearest offset before the anchor at which a repeated window begins."""
     held: list[pa.RecordBatch] = []
     size = 0
     for b in batches:
-        for i in range(0, len(b), 2_000):
-            part = b.slice(i, 2_000)
+        for i in range(0, len(b), 1_000):
+            part = b.slice(i, 1_000)
             held.append(part)
-            size += len(part) * (WINDOW + STEP)
+            size += int(np.diff(flat_bytes(column(part, "piece"))[1]).sum())
             if size >= INDEX_BYTES:
                 t = pa.Table.from_batches(held).combine_chunks()
-                core = t["core"].to_numpy()
-                cut = int(np.searchsorted(core, core[-1], side="left"))
+                anchor = t["anchor"].to_numpy()
+                cut = int(np.searchsorted(anchor, anchor[-1], side="left"))
                 if cut:
                     yield from _solve(t.slice(0, cut))
                     held = t.slice(cut).to_batches()
-                    size = (len(t) - cut) * (WINDOW + STEP)
+                    size = sum(len(x) for x in t["piece"].slice(cut).to_pylist())
     if held:
         yield from _solve(pa.Table.from_batches(held))
 
 
 def _solve(t: pa.Table) -> Iterator[pa.RecordBatch]:
     index = RunIndex(t["piece"].to_pylist())
-    before, x = t["before"].to_numpy().astype(np.int64), t["x"].to_numpy().astype(np.int64)
-    good = index.matching_statistics(0, len(index.text)) >= WINDOW + 1
-    # Window starts of each piece: from its first byte to x bytes before the mark.
-    n = before - x + 1
-    at = ragged(index.starts, n)
-    owner = np.repeat(np.arange(len(t)), n)
-    hit = good[at]
-    owner, offset = owner[hit], (before[owner] - (at - index.starts[owner]))[hit]
-    far, near = np.full(len(t), -1), np.full(len(t), WINDOW)
-    np.maximum.at(far, owner, offset)
-    np.minimum.at(near, owner, offset)
-    rows = np.flatnonzero((far >= 0) & t["solo"].to_numpy(zero_copy_only=False))
+    far, near = t["far"].to_numpy().astype(np.int64), t["near"].to_numpy().astype(np.int64)
+    # Window starts of the pieces that need an answer: from the first byte to
+    # near bytes before the mark.
+    asked = np.flatnonzero(t["solo"].to_numpy(zero_copy_only=False))
+    n = (far - near + 1)[asked]
+    at = ragged(index.starts[asked], n)
+    owner = np.repeat(asked, n)
+    hit = index.matching_statistics(at) >= WINDOW + 1
+    owner, offset = owner[hit], (far[owner] - (at - index.starts[owner]))[hit]
+    farthest, nearest = np.full(len(t), -1), np.full(len(t), WINDOW)
+    np.maximum.at(farthest, owner, offset)
+    np.minimum.at(nearest, owner, offset)
+    rows = np.flatnonzero(farthest >= 0)
     if len(rows):
         some = t.take(pa.array(rows))
-        yield pa.RecordBatch.from_arrays([some["k1"].combine_chunks(), some["k2"].combine_chunks(), some["pos"].combine_chunks(), pa.array(far[rows].astype(np.int32)), pa.array(near[rows].astype(np.int32))], names=["k1", "k2", "pos", "far", "near"])
+        yield pa.RecordBatch.from_arrays([some["k1"].combine_chunks(), some["k2"].combine_chunks(), some["pos"].combine_chunks(), pa.array(farthest[rows].astype(np.int32)), pa.array(nearest[rows].astype(np.int32))], names=["k1", "k2", "pos", "far", "near"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces of big cores to their windows, by 128-bit hash."""
+    """Pieces of big anchors to their windows, by 128-bit hash."""
     names = ["w1", "w2", "k1", "k2", "pos", "offset", "solo"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
     for b in batches:
         rows = []
-        for k1, k2, pos, x, before, solo, piece in zip(*(column(b, c).to_pylist() for c in ("k1", "k2", "pos", "x", "before", "solo", "piece"))):
-            for offset in range(x, before + 1):
-                w = piece[before - offset : before - offset + WINDOW + 1]
-                if len(w) == WINDOW + 1:
-                    d = xxhash.xxh3_128_digest(w, offset)
-                    rows.append((int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True), k1, k2, pos, offset, solo))
+        for k1, k2, pos, far, near, solo, piece in zip(*(column(b, c).to_pylist() for c in ("k1", "k2", "pos", "far", "near", "solo", "piece"))):
+            for offset in range(near, far + 1):
+                d = xxhash.xxh3_128_digest(piece[far - offset : far - offset + WINDOW + 1], offset)
+                rows.append((int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True), k1, k2, pos, offset, solo))
             if len(rows) > 50_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
                 rows = []
@@ -328,36 +318,36 @@ def cut_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     that loses something."""
     keyed = _keyed(docs)
     info = materialize(keyed.select("doc_id", "k1", "k2", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha256")))
-    occurrences = materialize(keyed.where(F.octet_length("text") >= WINDOW).select("text", "k1", "k2").mapInArrow(_occurrences, "anchor long, context long, k1 long, k2 long, pos int"))
-    # Anchors that occur again, and whether in several contexts.
-    again = occurrences.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), (F.min("context") != F.max("context")).alias("several")).where("n > 1").select("anchor", "several")
+    occurrences = materialize(keyed.where(F.octet_length("text") >= WINDOW).select("text", "k1", "k2").mapInArrow(_occurrences, "anchor long, context long, k1 long, k2 long, pos int, far int, near int"))
+    # Anchors that occur again, and whether in several contexts.  Small tables
+    # of their own, so that Spark can split the hot keys of the joins.
+    again = materialize(occurrences.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), (F.min("context") != F.max("context")).alias("several")).where("n > 1").select("anchor", "several"))
     found = materialize(occurrences.join(again, "anchor"))
     place = F.struct("k1", "k2", "pos")
-    contexts = found.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
+    contexts = materialize(found.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")))
     found = found.distinct().join(contexts, ["anchor", "context"])
-    found = found.select("k1", "k2", "pos", (F.col("n") == 1).alias("solo"), (F.col("several") & (place == F.col("first"))).alias("rep")).where("rep or not solo")
-    lists = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "solo", "rep")).alias("found"))
+    solo, rep = F.col("n") == 1, F.col("several") & (place == F.col("first"))
+    found = found.select("k1", "k2", "pos", "far", "near", F.when(rep, F.col("anchor")).alias("anchor"), solo.alias("solo"), rep.alias("rep")).where("rep or not solo")
+    lists = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "far", "near", "anchor", "solo", "rep")).alias("found"))
     # One document for each distinct text that has any; copies are not shuffled.
     first = info.groupBy("k1", "k2").agg(F.min("doc_id").alias("first_id"))
     lists = lists.join(first, ["k1", "k2"])
     texts = keyed.join(lists, (keyed.doc_id.eqNullSafe(lists.first_id)) & (keyed.k1 == lists.k1) & (keyed.k2 == lists.k2)).select(keyed.k1, keyed.k2, "text", "found")
     texts = materialize(texts)
-    pieces = materialize(texts.where(F.exists("found", lambda f: f["rep"])).mapInArrow(_pieces, "core long, k1 long, k2 long, pos int, x int, before int, solo boolean, piece binary"))
-    cores = materialize(pieces.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    shared = pieces.join(cores, "core")
-    small = shared.where(F.col("n") <= BIG).drop("n").repartition("core").sortWithinPartitions("core")
-    hits = small.mapInArrow(_index, "k1 long, k2 long, pos int, far int, near int")
-    if cores.where(F.col("n") > BIG).limit(1).count():
-        windows = shared.where(F.col("n") > BIG).mapInArrow(_windows, "w1 long, w2 long, k1 long, k2 long, pos int, offset int, solo boolean")
-        windows = materialize(windows)
-        twice = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    pieces = materialize(texts.where(F.exists("found", lambda f: f["rep"])).mapInArrow(_pieces, "anchor long, k1 long, k2 long, pos int, far int, near int, solo boolean, piece binary"))
+    big = materialize(pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BIG).select("anchor"))
+    crowded = big.limit(1).count() > 0
+    small = pieces.join(big, "anchor", "left_anti") if crowded else pieces
+    hits = small.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_index, "k1 long, k2 long, pos int, far int, near int")
+    if crowded:
+        windows = materialize(pieces.join(big, "anchor").mapInArrow(_windows, "w1 long, w2 long, k1 long, k2 long, pos int, offset int, solo boolean"))
+        twice = materialize(windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2"))
         more = windows.where("solo").join(twice, ["w1", "w2"]).groupBy("k1", "k2", "pos").agg(F.max("offset").alias("far"), F.min("offset").alias("near"))
         hits = hits.unionByName(more)
-    hits = materialize(hits)
     # Whole contexts that occur again, and what the index found of the others.
     spans = hits.select("k1", "k2", (F.col("pos") - F.col("far")).alias("lo"), (F.col("pos") + WINDOW - F.col("near")).alias("hi"))
     spans = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    own = F.transform(F.filter("found", lambda f: ~f["solo"]), lambda f: F.struct(F.greatest(f["pos"] - SPREAD, F.lit(0)).alias("lo"), (f["pos"] + WINDOW).alias("hi")))
+    own = F.transform(F.filter("found", lambda f: ~f["solo"]), lambda f: F.struct((f["pos"] - f["far"]).alias("lo"), (f["pos"] - f["near"] + WINDOW).alias("hi")))
     none = F.array().cast("array<struct<lo:int,hi:int>>")
     texts = texts.join(spans, ["k1", "k2"], "left").select("k1", "k2", "text", F.concat(own, F.coalesce("spans", none)).alias("spans")).where(F.size("spans") > 0)
     cuts = materialize(texts.mapInArrow(_cut, "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string, kept binary").dropDuplicates(["k1", "k2"]))

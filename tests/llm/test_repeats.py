@@ -71,7 +71,7 @@ def test_run_index_equals_brute_force():
     pieces = [bytes(rng.choices(b"ab\x00", k=rng.randrange(1, 60))) + rng.choice([b"", b"\xfe" + bytes(rng.choices(b"ab", k=30))]) for _ in range(40)]
     pieces += pieces[:5]
     index = repeats.RunIndex(pieces)
-    got = index.matching_statistics(0, len(index.text))
+    got = index.matching_statistics(np.arange(len(index.text)))
     suffixes = [(int(s) + i, p[i:]) for s, p in zip(index.starts, pieces) for i in range(len(p))]
     for at, own in suffixes:
         best = 0
@@ -87,8 +87,17 @@ def test_anchors_cover_every_window():
     rng = random.Random(5)
     texts = [words(rng, 200).encode(), b"ab" * 300, b"x" * 199, b"y" * 200]
     offsets = np.cumsum([0, *map(len, texts)])
-    text, pos, _ = repeats.anchors(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    text, pos, _, far, near = repeats.anchors(np.frombuffer(b"".join(texts), np.uint8), offsets)
     for k, t in enumerate(texts):
-        own = pos[text == k]
-        for i in range(len(t) - W + 1):
-            assert ((own >= i) & (own <= i + repeats.SPREAD)).any()
+        own = text == k
+        governed = [i for p, f, n in zip(pos[own], far[own], near[own]) for i in range(p - f, p - n + 1)]
+        assert governed == list(range(len(t) - W + 1))
+        assert ((far[own] <= repeats.SPREAD) & (near[own] >= 0)).all()
+
+
+def test_big_buffers_rank_by_pairs(monkeypatch):
+    rng = random.Random(6)
+    pieces = [bytes(rng.choices(b"ab", k=300)) for _ in range(30)] * 2
+    want = repeats.RunIndex(pieces).samples
+    monkeypatch.setattr(repeats, "TRIPLE", 1)
+    assert all((a == b).all() for x, y in zip(want, repeats.RunIndex(pieces).samples) for a, b in zip(x, y))
