@@ -44,6 +44,18 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` as a bucketed table in the shared folder: joins on ``key`` move the
+    other side only.  ``df`` comes from an aggregate by ``key``, whose shuffle
+    has dealt the buckets already."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = shared_dir(spark)
+    name = f"quillstone_{path.rpartition('/')[2]}"
+    df.write.bucketBy(n, key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def flat_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column; nulls are empty."""
     if col.null_count:
@@ -78,5 +90,11 @@ def sha256(data) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
+def others(df: DataFrame, *made: str) -> list[str]:
+    """The columns that pass by: all but those that an operator reads or makes.
+    A column of the name of a result is replaced by it."""
+    return [c for c in df.columns if c not in made]
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))

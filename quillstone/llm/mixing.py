@@ -152,12 +152,13 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     # shuffled once, by id.
     made = F.struct("size", "taken", copies.cast("int").alias("copies"))
     made = plan.groupBy(F.col("doc_id").alias("_plan_id")).agg(F.sort_array(F.collect_list(made), asc=False).alias("_made"))
-    own = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_size", word_count(F.col("text")))
-    rows = own.join(made, F.col("_id").eqNullSafe(F.col("_plan_id")))
+    own = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"), word_count(F.col("text")).alias("_size"))
+    # The plan grows with the documents, so it is never broadcast.
+    rows = own.join(made.hint("merge"), F.col("_id").eqNullSafe(F.col("_plan_id")))
     rows = rows.withColumn("_k", F.row_number().over(Window.partitionBy("_id").orderBy(F.desc("_size")))) if _repeats(plan) else rows.withColumn("_k", F.lit(1))
     rows = rows.withColumn("_copies", F.element_at("_made", F.col("_k"))["copies"]).where("_copies > 0")
     rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return rows.select(*docs.columns)
+    return rows.select("_row.*")
 
 
 def _repeats(plan: DataFrame) -> bool:

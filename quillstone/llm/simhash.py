@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from .common import column, materialize
+from .common import bucketed, column, materialize, others
 
 SHINGLE = 4
 RADIUS = 4
@@ -76,8 +76,8 @@ def simhash(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 def fingerprints(docs: DataFrame, text: str = "text", seeds: tuple[int, ...] = (SEED,), shingle: int = SHINGLE) -> DataFrame:
     """All other columns, and ``fp``, ``fp1`` ... : signed 64-bit fingerprints,
     one for each seed."""
-    keep = [c for c in docs.columns if c != text]
     names = ["fp", *(f"fp{k}" for k in range(1, len(seeds)))]
+    keep = others(docs, text, *names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -453,16 +453,20 @@ def similar_texts(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame
 
 def unique_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one document, of the least doc_id, of each group of exact
-    and near copies; columns and other rows as they are."""
+    and near copies; columns and other rows as they are.
+
+    The texts are shuffled once.  That shuffle is a partial aggregate, which
+    leaves one row for each distinct text, so copies don't meet in one task;
+    the later steps look texts up in the bucketed table that it fills."""
+    names = docs.columns
     key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    ids = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key")))
-    first = ids.groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), "text")
-    # Copies stay behind: one row for each distinct text.
-    texts = materialize(keyed.join(first, (keyed.key == first.key) & keyed.doc_id.eqNullSafe(first.doc_id), "left_semi").select("key", "text"))
-    root = components(similar_texts(texts, similarity))
-    rooted = first.join(root, first.key == root.node, "left").select("key", "doc_id", F.coalesce("root", "key").alias("root"))
-    kept = materialize(rooted.groupBy("root").agg(F.min("doc_id").alias("_id")).select("_id"))
-    out = docs.join(kept, docs.doc_id.cast("long").eqNullSafe(kept._id), "left_semi")
-    repeated = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
-    return out.dropDuplicates(["doc_id"]) if repeated else out
+    ident = F.col("doc_id").cast("long")
+    row = F.min_by(F.struct(*names), F.struct(ident.isNull(), ident))
+    texts = bucketed(docs.groupBy(key.alias("_key")).agg(row.alias("_row")), "_key")
+    plain = texts.select(F.col("_key").alias("key"), F.col("_row.text").alias("text"))
+    root = components(similar_texts(plain, similarity))
+    own = F.col("_row.doc_id").cast("long")
+    ids = texts.select("_key", F.struct(own.isNull().alias("none"), own.alias("doc_id"), F.col("_key")).alias("order"))
+    rooted = ids.join(root, ids._key == root.node, "left").select(F.coalesce("root", "_key").alias("root"), "order")
+    kept = materialize(rooted.groupBy("root").agg(F.min("order").alias("order")).select(F.col("order._key").alias("_kept")))
+    return texts.join(kept, texts._key == kept._kept, "left_semi").select("_row.*")

@@ -148,6 +148,8 @@ def test_unique_documents(spark):
     df = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id long, text string, key int").repartition(3)
     kept = [r.doc_id for r in simhash.unique_documents(df).collect()]
     assert len(kept) == len(set(kept)) and {500, 502, None} <= set(kept) and 501 not in kept
+    plan = simhash.unique_documents(df)._jdf.queryExecution().toString()
+    assert "Bucketed" in plan
     # Brute force: components of Jaccard >= 0.8.
     ids = list(group)
     sets = {d: shingles(texts[d]) for d in ids}
