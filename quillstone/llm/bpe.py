@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_slices, column, flat_bytes, ragged
+from .common import byte_slices, column, flat_bytes, others, ragged
 
 MATRIX_BYTES = 256
 SLICE_BYTES = 1 << 21
@@ -250,7 +250,7 @@ def _default(path: str | None) -> str:
 def encode(df: DataFrame, text: str = "text", ids: str = "ids", vocabulary: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (default: all but the text) and ``ids``, a binary column
     of little-endian unsigned 32-bit token ids."""
-    keep = [c for c in df.columns if c != text] if keep is None else keep
+    keep = others(df, text, ids) if keep is None else keep
     path = _default(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,8 +270,8 @@ def encode(df: DataFrame, text: str = "text", ids: str = "ids", vocabulary: str
 
 def decode(df: DataFrame, ids: str = "ids", decoded: str = "decoded", vocabulary: str | None = None) -> DataFrame:
     """All columns and ``decoded``, the bytes that the ids stand for."""
-    path, names = _default(vocabulary), df.columns
-    at = names.index(ids)
+    path, names = _default(vocabulary), others(df, decoded)
+    df, at = df.select(*names), names.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe.get(path)

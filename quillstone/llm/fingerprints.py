@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, sha256
+from .common import column, others, sha256
 
 BITS = 128
 SHORT = 48
@@ -163,7 +163,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
 
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     """All other columns, and ``fingerprint``."""
-    keep = [c for c in docs.columns if c != text]
+    keep = others(docs, text, "fingerprint")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

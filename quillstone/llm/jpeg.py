@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, column, flat_bytes, sha256
+from .common import byte_slices, column, flat_bytes, others, sha256
 
 ROW = 576
 FRAME_ROWS = 8191
@@ -370,7 +370,7 @@ def thumbnail_hash(thumb: np.ndarray) -> int:
 
 def store(df: DataFrame, text: str = "text", media: str = "media") -> DataFrame:
     """All other columns, ``n_bytes`` and ``media``, the JPEG form of the text."""
-    keep = [c for c in df.columns if c != text]
+    keep = others(df, text, "n_bytes", media)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -391,7 +391,7 @@ _FEATURES = "width long, height long, thumb_hash string, payload_bytes long, pay
 def features(df: DataFrame, media: str = "media") -> DataFrame:
     """All other columns, and of the media: dimensions, thumbnail hash, digests
     of the stored form and of the thumbnail bytes (all frames, row by row)."""
-    keep = [c for c in df.columns if c != media]
+    keep = others(df, media, *_ARROW.names)
 
     def row(m: bytes, frames) -> tuple:
         if isinstance(frames, str):

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column
+from .common import column, others
 
 KEY = b"quillstone pseudonym key"
 ROUNDS = 8
@@ -262,8 +262,8 @@ class Pseudonyms:
 def pseudonymize(df: DataFrame, text: str = "text", key: bytes = KEY, back: bool = False, spans: str | None = "spans") -> DataFrame:
     """All columns with the text replaced, and ``spans``: an array of (kind,
     start, end) of the pseudonyms in the new text."""
-    names = df.columns
-    at = names.index(text)
+    names = others(df, spans) if spans else df.columns
+    df, at = df.select(*names), names.index(text)
     span = pa.list_(pa.struct([("kind", pa.string()), ("from", pa.int32()), ("to", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
