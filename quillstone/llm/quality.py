@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column
+from .common import column, others
 
 TRAIN_ROWS = 20_000
 THRESHOLD = 0.7
@@ -72,7 +72,7 @@ def statistics(text: bytes) -> list[float]:
 
 def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
     """All other columns and one double for each of STATISTICS."""
-    keep = [c for c in df.columns if c != text]
+    keep = others(df, text, *STATISTICS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -168,7 +168,7 @@ class RuleModel:
         self.intercept, self.rules, self.weights = intercept, rules, weights
 
     @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, penalties=(3e-3, 1e-3, 3e-4)) -> "RuleModel":
+    def fit(cls, x: np.ndarray, y: np.ndarray, penalties=(1e-2, 3e-3, 1e-3, 3e-4)) -> "RuleModel":
         y = y.astype(float)
         if not len(y) or y.min() == y.max():
             share = float(y.mean()) if len(y) else 0.5
@@ -186,7 +186,8 @@ class RuleModel:
             b, w = lasso_logistic(z[~test], y[~test], penalty)
             p = np.clip(1 / (1 + np.exp(-(z[test] @ w + b))), 1e-6, 1 - 1e-6)
             loss[penalty] = -np.mean(y[test] * np.log(p) + (1 - y[test]) * np.log(1 - p)) if test.any() else 0.0
-        b, w = lasso_logistic(z, y, min(loss, key=loss.get))
+        # The sparsest of the fits that are about as good as the best.
+        b, w = lasso_logistic(z, y, max(p for p in penalties if loss[p] <= min(loss.values()) + 0.002))
         kept = np.flatnonzero(np.abs(w) > 1e-4)
         return cls(float(b), [rules[k] for k in kept], [float(w[k]) for k in kept])
 
