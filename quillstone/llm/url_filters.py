@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialize, others
+
 _HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]*)"
 _PATH = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)"
 
@@ -49,7 +51,7 @@ def intervals(events: DataFrame) -> DataFrame:
 def filter_urls(captures: DataFrame, events: DataFrame) -> DataFrame:
     """All columns of ``captures`` (url, fetched_at, ...), and host, blocked,
     n_active (entries), categories (sorted, comma-joined), listed_since."""
-    names = captures.columns
+    names = others(captures, "host", "blocked", "n_active", "categories", "listed_since")
     given = captures.select(F.struct(*names).alias("_row"), host_of(F.col("url")).alias("_host"), path_of(F.col("url")).alias("_path"), F.col("fetched_at").cast("timestamp").alias("_at"))
     hosts = given.select("_host").where("_host <> ''").distinct()
     labels = F.split("_host", r"\.")
@@ -57,7 +59,8 @@ def filter_urls(captures: DataFrame, events: DataFrame) -> DataFrame:
     above = hosts.select("_host", F.explode(above).alias("_above"))
     listed = above.join(intervals(events), F.col("_above") == F.col("host"))
     entry = F.struct("valid_from", "valid_to", "prefix", "category")
-    listed = listed.groupBy(F.col("_host").alias("_listed")).agg(F.collect_list(entry).alias("_entries"))
+    # A table of its own: Spark can then split the hot host in the join below.
+    listed = materialize(listed.groupBy(F.col("_host").alias("_listed")).agg(F.collect_list(entry).alias("_entries")))
     joined = given.join(listed, F.col("_host") == F.col("_listed"), "left")
     active = F.filter("_entries", lambda e: (e["valid_from"] <= F.col("_at")) & (e["valid_to"].isNull() | (F.col("_at") < e["valid_to"])) & F.startswith(F.col("_path"), e["prefix"]))
     active = F.coalesce(active, F.slice("_entries", 1, 0), F.array().cast("array<struct<valid_from:timestamp,valid_to:timestamp,prefix:string,category:string>>"))
