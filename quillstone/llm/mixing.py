@@ -30,7 +30,7 @@ from .common import WORD, materialize
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2.0
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 FAN_IN = 1_000
 
 _STATE = "source string, bucket long, row_key long, doc_id long, size long, mass double"
