@@ -35,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
@@ -365,12 +365,22 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     return prints.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-#: The near-duplicate stage: word fingerprints, links by all of them, Jaccard.
+#: The near-duplicate stage: word fingerprints, prefixes of shingles, Jaccard.
 WORD_SEEDS = 4
 WORD_BITS = 40
 WORD_RADIUS = 5
 SIMILARITY = 0.8
 STAGE_SHINGLE = 5
+#: Texts whose shingles are counted, and the most of them that count as common.
+SAMPLE = 10_000
+COMMON = 100_000
+#: Texts of a shingle that are compared at once, and that need no neighbours
+#: first; pairs that are verified in one
+#: turn, and the members of a component that a text tries in the first.
+PART = 2_048
+FEW = 32
+AT_ONCE = 1 << 20
+TURN = 4
 
 
 def word_simhash(words: list[bytes]) -> np.ndarray:
@@ -419,16 +429,14 @@ def _per_text(df: DataFrame, columns: str, of) -> DataFrame:
     return given.mapInArrow(run, schema).toDF(*names, *(n for n, _ in added))
 
 
-def similar_texts(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b) keys of links between distinct texts (key, text), within a forest
-    over candidate links, whose 5-word shingle sets have at least that Jaccard
-    similarity.
+def word_links(texts: DataFrame) -> DataFrame:
+    """(a, b) keys of candidate links between distinct texts (key, text), quick
+    to find where single words were edited.
 
     Candidates differ in at most WORD_RADIUS bits of one of four word
     fingerprints and in at most WORD_BITS of all 256; each trie task keeps a
     minimum spanning forest of them, so near copies by the thousand cost no
-    pairs.  At a similarity of 0.8 an edit touches a word in 45, which turns 4
-    of 64 bits: one table finds 3 of 4 such pairs, the four miss 1 in 200."""
+    pairs."""
     prints = materialize(_per_text(texts, "f0 long, f1 long, f2 long, f3 long", lambda words: tuple(word_simhash(words).tolist())))
     names = [f"f{k}" for k in range(WORD_SEEDS)]
     # Texts with the same fingerprints (reordered words) go with one of them.
@@ -442,13 +450,230 @@ def similar_texts(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     found = same
     for n in names:
         found = found.unionByName(links(groups.withColumn("fp", F.col(n)), WORD_RADIUS, ident="ident", extra=tuple(names), cost=cost))
+    return found
+
+
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the shingles in each of 64 or more buckets, as many as
+    shingles; two sets differ in at least as many elements as parities."""
+    size = 1 << max(6, (len(shingles) - 1).bit_length())
+    odd = np.bincount(shingles & (size - 1), minlength=size) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
+def differing(a: np.ndarray, b: np.ndarray) -> int:
+    """Parities that differ, the longer sketch folded to the shorter."""
+    while len(a) != len(b):
+        if len(a) < len(b):
+            a, b = b, a
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count((a ^ b).view(np.uint64)).sum())
+
+
+def verified(texts: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of ``found`` whose shingle sets are that similar; the
+    sets of pairs whose sketches differ too much are not compared."""
     found = materialize(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     involved = found.select(F.col("a").alias("key")).unionByName(found.select(F.col("b").alias("key"))).distinct()
-    sets = materialize(_per_text(texts.join(involved, "key"), "shingles array<long>", lambda words: (shingle_hashes(words),)))
-    a = sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
-    both = found.join(a, "a").join(b, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
-    return both.where(F.col("common") >= similarity * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b")
+
+    def of(words: list[bytes]) -> tuple:
+        h = shingle_hashes(words)
+        return h, sketch(h), len(h)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            na, nb = column(t, "na").to_numpy(), column(t, "nb").to_numpy()
+            bits = np.fromiter((differing(np.array(x.values), np.array(y.values)) for x, y in zip(column(t, "ka"), column(t, "kb"))), np.int64, len(t))
+            yield t.select(["a", "b"]).filter(pa.array(bits <= (1 - similarity) / (1 + similarity) * (na + nb) + 1e-6))
+
+    sets = materialize(_per_text(texts.join(involved, "key"), "shingles array<long>, sketch array<long>, n long", of))
+    ka = sets.select(F.col("key").alias("a"), F.col("sketch").alias("ka"), F.col("n").alias("na"))
+    kb = sets.select(F.col("key").alias("b"), F.col("sketch").alias("kb"), F.col("n").alias("nb"))
+    found = materialize(found.join(ka, "a").join(kb, "b").select("a", "b", "ka", "kb", "na", "nb").mapInArrow(run, "a long, b long"))
+    sa = sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa"))
+    sb = sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
+    both = found.join(sa, "a").join(sb, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
+    return materialize(both.where(F.col("common") >= similarity * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b"))
+
+
+def common_shingles(texts: DataFrame) -> np.ndarray:
+    """Shingles that several of about SAMPLE texts share, rarest first.  They
+    only set the order of the prefixes: any order gives the same links."""
+    every = max(1, texts.count() // SAMPLE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for t in column(b, "text"):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_hashes((t.as_buffer().to_pybytes() if t.is_valid else b"").lower().split()))], names=["token"])
+
+    some = texts.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0).select("text").mapInArrow(run, "token long")
+    n = some.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
+    top = n.orderBy(F.col("n").desc(), "token").limit(COMMON).collect()
+    return np.array([r["token"] for r in reversed(top)], np.int64)
+
+
+def prefix(shingles: np.ndarray, common: np.ndarray, rank: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles of a set, common ones last, and whether each is
+    common.  Sets of that similarity share one of so many, at the least."""
+    n = len(shingles)
+    size = n - int(np.ceil(similarity * n - 1e-9)) + 1
+    where = np.minimum(np.searchsorted(common, shingles), max(0, len(common) - 1))
+    order = np.where(common[where] == shingles, rank[where] + 1, 0) if len(common) else np.zeros(n, np.int64)
+    first = np.lexsort((shingles, order))[:size]
+    return shingles[first], order[first] > 0
+
+
+def shared_prefixes(texts: DataFrame, similarity: float) -> DataFrame:
+    """(token, key, place) of the prefix shingles that more than one text has;
+    place is the size of the set << 32, plus the position of the shingle."""
+    listed = common_shingles(texts)
+    common, rank = np.sort(listed), np.argsort(listed)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, len(b), 1_000):
+                part, made = b.slice(lo, 1_000), []
+                keys = column(part, "key").to_numpy()
+                for key, t in zip(keys, column(part, "text")):
+                    h = shingle_hashes((t.as_buffer().to_pybytes() if t.is_valid else b"").lower().split())
+                    token, hot = prefix(h, common, rank, similarity)
+                    made.append((token, np.full(len(token), key), (len(h) << 32) + np.arange(len(token)), np.where(hot, key, 0)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*made)], names=["token", "key", "place", "salt"])
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in itertools.chain(batches, [None]):
+            t = [x for x in (held, b) if x is not None and len(x)]
+            if not t:
+                continue
+            t = pa.Table.from_batches(t).combine_chunks()
+            token = t["token"].to_numpy()
+            cut = len(t) if b is None else int(np.searchsorted(token, token[-1]))
+            equal = token[1:] == token[:-1]
+            keep = np.concatenate([[False], equal]) | np.concatenate([equal, [False]]) | (t["salt"].to_numpy() != 0)
+            held = t.slice(cut).to_batches()[0] if cut < len(t) else None
+            yield from t.slice(0, cut).filter(pa.array(keep[:cut])).select(["token", "key", "place"]).to_batches()
+
+    # Common shingles are dealt out by text, the others meet their likes.
+    rows = texts.select("key", "text").mapInArrow(run, "token long, key long, place long, salt long")
+    rows = rows.repartition("token", "salt").sortWithinPartitions("token")
+    return materialize(rows.mapInArrow(shared, "token long, key long, place long"))
+
+
+def _meet(t: dict, i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+    """Which pairs of rows can still be that similar, from their first common
+    shingle on, and are not in one component."""
+    ni, nj = t["place"][i] >> 32, t["place"][j] >> 32
+    left = np.minimum(ni - (t["place"][i] & 0xFFFFFFFF), nj - (t["place"][j] & 0xFFFFFFFF))
+    return (left >= similarity / (1 + similarity) * (ni + nj) - 1e-6) & (t["root"][i] != t["root"][j])
+
+
+def _rooted(rows: DataFrame, root: DataFrame, key: str = "key", name: str = "root") -> DataFrame:
+    root = root.select(F.col("node").alias(key), F.col("root").alias(name))
+    return rows.join(root, key, "left").withColumn(name, F.coalesce(name, key))
+
+
+def neighbours(shared: DataFrame, root: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of texts that follow each other, by size, at a shingle that more
+    than FEW share."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            t = {c: column(b, c).to_numpy() for c in ("token", "key", "place", "root")}
+            n = np.unique(t["token"], return_inverse=True, return_counts=True)
+            i = np.flatnonzero((t["token"][1:] == t["token"][:-1]) & (n[2][n[1]][1:] > FEW))
+            i = i[_meet(t, i, i + 1, similarity)]
+            yield pa.RecordBatch.from_arrays([pa.array(t["key"][i]), pa.array(t["key"][i + 1])], names=["a", "b"])
+
+    rows = _rooted(shared, root).repartitionByRange("token", "place", "key").sortWithinPartitions("token", "place", "key")
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def prefix_pairs(shared: DataFrame, root: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): all pairs of texts of different components that can be that
+    similar.  A shingle of more than PART texts is dealt into parts by a hash;
+    every part, and every pair of parts, is a group of its own."""
+    rows = materialize(_rooted(shared, root))
+    live = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi")
+    live = materialize(live.select("token", F.ceil(F.col("n") / PART).cast("int").alias("cuts")))
+    rows = rows.join(live, "token")
+    parts = rows.withColumn("range", F.pmod(F.xxhash64("key"), F.col("cuts")).cast("int"))
+    parts = parts.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    lo, hi = F.least("range", "with"), F.greatest("range", "with")
+    parts = parts.select("token", "key", "place", "root", (lo * F.col("cuts") + hi + 1).alias("pair"), F.when(F.col("range") == F.col("with"), 2).when(F.col("range") < F.col("with"), 0).otherwise(1).alias("side"))
+
+    def solve(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        t = {c: t[c].to_numpy().astype(np.int64) for c in t.column_names}
+        group = np.concatenate([[0], np.cumsum((t["token"][1:] != t["token"][:-1]) | (t["pair"][1:] != t["pair"][:-1]))])
+        # Larger sets of the same group, as far as their size allows.
+        size = t["place"] >> 32
+        most = np.minimum(np.floor(size / similarity + 1e-6).astype(np.int64), (1 << 31) - 1)
+        n = np.searchsorted((group << 31) + size, (group << 31) + most, side="right") - np.arange(len(group)) - 1
+        ends = np.cumsum(n)
+        at = 0
+        while at < len(n):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + FRONT // 8, side="right")))
+            some = n[at:to]
+            i = np.repeat(np.arange(at, to), some)
+            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(some) - some, some)
+            near = _meet(t, i, j, similarity) & ((t["side"][i] == 2) | (t["side"][i] != t["side"][j]))
+            a, b = t["key"][i[near]], t["key"][j[near]]
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+            at = to
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in itertools.chain(batches, [None]):
+            t = [x for x in (held, b) if x is not None and len(x)]
+            if not t:
+                continue
+            t = pa.Table.from_batches(t).combine_chunks()
+            token, pair = t["token"].to_numpy(), t["pair"].to_numpy()
+            other = np.flatnonzero((token != token[-1]) | (pair != pair[-1]))
+            cut = len(t) if b is None else int(other[-1]) + 1 if len(other) else 0
+            if cut:
+                yield from solve(t.slice(0, cut))
+            held = t.slice(cut).to_batches()[0] if cut < len(t) else None
+
+    rows = parts.repartition("token", "pair").sortWithinPartitions("token", "pair", "place")
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
+def similar_texts(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b) keys of links between distinct texts (key, text): the components
+    are those of all pairs whose 5-word shingle sets have at least that Jaccard
+    similarity.
+
+    Word fingerprints find most links, and quickly.  All others come from the
+    prefixes: sets of that similarity share one of the first shingles, in an
+    order that all texts follow, whatever the edit.  Only pairs of different
+    components are compared: neighbours first, which joins most of what a large
+    family has left, then the rest by turns, each leaving out what the turns
+    before have joined, until no pair is untried."""
+    linked = verified(texts, word_links(texts), similarity)
+    shared = shared_prefixes(texts, similarity)
+    root = components(linked)
+    close = materialize(neighbours(shared, root, similarity).distinct())
+    if close.limit(1).count():
+        linked = materialize(linked.unionByName(verified(texts, close, similarity)))
+        root = components(linked)
+    rest = materialize(prefix_pairs(shared, root, similarity))
+    turn = TURN
+    while n := rest.count():
+        if n <= AT_ONCE:
+            return linked.unionByName(verified(texts, rest, similarity))
+        rest = _rooted(rest, root, "b", "rb")
+        # A text tries a few members of each other component in a turn.
+        order = Window.partitionBy("a", "rb").orderBy(F.xxhash64("a", "b"), "b")
+        ranked = materialize(rest.withColumn("rank", F.row_number().over(order)))
+        tried = ranked.where(F.col("rank") <= turn).select("a", "b")
+        linked = materialize(linked.unionByName(verified(texts, tried, similarity)))
+        root = components(linked)
+        rest = _rooted(_rooted(ranked.where(F.col("rank") > turn).select("a", "b"), root, "a", "ra"), root, "b", "rb")
+        rest = materialize(rest.where("ra <> rb").select("a", "b"))
+        turn *= 4
+    return linked
 
 
 def unique_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -156,3 +156,26 @@ def test_unique_documents(spark):
     want = forest_components([(a, b) for a in ids for b in ids if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])], ids)
     assert sorted(min(g) for g in want) == sorted(d for d in kept if d in group)
     assert simhash.unique_documents(df.limit(0)).count() == 0
+
+
+def kept_and_wanted(spark, texts):
+    """doc_ids that the stage keeps, and the least of each brute-force component."""
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    sets = [shingles(t) for t in texts]
+    pairs = [(a, b) for b in range(len(texts)) for a in range(b) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    return sorted(r.doc_id for r in simhash.unique_documents(df).collect()), sorted(min(g) for g in forest_components(pairs, range(len(texts))))
+
+
+def made_words(rng, n):
+    return ["".join(rng.choices("abcdefghij", k=rng.randrange(3, 9))) for _ in range(n)]
+
+
+def test_whole_edits(spark):
+    """Copies that are cut, extended or short, up to a similarity of 0.8."""
+    rng, texts = random.Random(3), []
+    for n in [12, 20, 40, 59, 90, 200, 400] * 4:
+        w = made_words(rng, n)
+        cut, more = w[: round(0.8 * (n - 4)) + 4 + rng.randrange(2)], w + made_words(rng, rng.randrange(n // 4 + 1))
+        texts += [" ".join(x) for x in rng.sample([w, cut, more, w[rng.randrange(1, 3) :]], rng.randrange(2, 5))]
+    got, want = kept_and_wanted(spark, texts)
+    assert got == want
