@@ -179,3 +179,37 @@ def test_whole_edits(spark):
         texts += [" ".join(x) for x in rng.sample([w, cut, more, w[rng.randrange(1, 3) :]], rng.randrange(2, 5))]
     got, want = kept_and_wanted(spark, texts)
     assert got == want
+
+
+def test_families(spark):
+    """Many versions of few texts, and reordered texts, which have the same
+    words, with copies of their own."""
+    rng, texts = random.Random(5), []
+    for _ in range(4):
+        base = made_words(rng, 150)
+        for _ in range(25):
+            w = list(base)
+            for k in rng.sample(range(len(w)), rng.randrange(1, 7)):
+                w[k] = made_words(rng, 1)[0]
+            texts.append(" ".join(w))
+    for _ in range(12):
+        w = made_words(rng, 100)
+        mixed = rng.sample(w, len(w))
+        texts += [" ".join(x) for x in (w, mixed, mixed[:-1], w[:-1], [*w, "end"])]
+    got, want = kept_and_wanted(spark, texts)
+    assert got == want
+
+
+def test_turns(spark, monkeypatch):
+    """Groups in parts, pairs in several turns."""
+    monkeypatch.setattr(simhash, "PART", 5)
+    monkeypatch.setattr(simhash, "AT_ONCE", 3)
+    monkeypatch.setattr(simhash, "TURN", 1)
+    monkeypatch.setattr(simhash, "WORD_RADIUS", 1)
+    rng = random.Random(6)
+    line, texts = made_words(rng, 12), []
+    for _ in range(5):
+        w = made_words(rng, 60)
+        texts += [" ".join([*line, *w[: rng.randrange(30, 61)]]) for _ in range(12)]
+    got, want = kept_and_wanted(spark, texts)
+    assert got == want
