@@ -1,10 +1,12 @@
 """Document fingerprints: SimHash with weighted terms, permuted block tables.
 
 The terms of a text are its word pairs (words lower-cased, ASCII white space
-apart), and its words and character triples as well where it is shorter than
-``SHORT`` words.  A term weighs 1 + log2 of its count; its 128 hashed bits vote
-with that weight for or against each bit of the fingerprint.  The likeness of
-two texts is 1 - differing bits / 128.
+apart), its words and its character triples.  A term weighs 1 + log2 of its
+count; words and triples weigh less the longer the text, by a share that falls
+evenly from 1 to 0 at ``LONG`` words, so texts of nearly the same length are
+always compared on nearly the same weights.  A term's 128 hashed bits vote with
+its weight for or against each bit of the fingerprint.  The likeness of two
+texts is 1 - differing bits / 128.
 
 ``near`` finds all fingerprints within a Hamming radius: with radius + 1 blocks
 two such fingerprints agree on one whole block, so a table for each block,
@@ -31,14 +33,19 @@ from pyspark.sql import functions as F
 from .common import column, others, sha256
 
 BITS = 128
-SHORT = 48
+LONG = 192
 RADIUS = 6
 _DOCS_A_STRETCH = 2_000
 
 
+def _share(n_words: int) -> float:
+    """What words and character triples weigh in a text of so many words."""
+    return max(0.0, 1 - n_words / LONG)
+
+
 def _terms(words: list[bytes], text: bytes) -> Counter:
     terms = Counter(zip(words, words[1:]))
-    if len(words) < SHORT:
+    if _share(len(words)):
         terms.update(words)
         chars = text.decode("utf-8", "replace")
         terms.update(chars[i : i + 3] for i in range(max(1, len(chars) - 2)) if chars)
@@ -56,14 +63,19 @@ def fingerprint(text: str | None) -> str:
     terms = _terms(words, raw)
     if not terms:
         return "0" * (BITS // 4)
-    votes, total = np.zeros(BITS, np.float32), 0.0
+    share = _share(len(words))
+    votes, total = np.zeros(BITS, np.float64 if share else np.float32), 0.0
     items = list(terms.items())
     for lo in range(0, len(items), 50_000):
         some = items[lo : lo + 50_000]
         keys = b"".join([xxhash.xxh3_128_digest(_key(t)) for t, _ in some])
         bits = np.unpackbits(np.frombuffer(keys, np.uint8).reshape(-1, BITS // 8), axis=1)
         counts = np.fromiter((c for _, c in some), np.int64, len(some))
-        if counts.max() == 1:
+        if share:
+            weight = (1 + np.log2(counts)) * np.fromiter((1.0 if isinstance(t, tuple) else share for t, _ in some), np.float64, len(some))
+            votes += weight @ bits
+            total += float(weight.sum())
+        elif counts.max() == 1:
             votes += bits.sum(axis=0, dtype=np.int32)
             total += len(some)
         else:

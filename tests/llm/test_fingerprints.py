@@ -51,3 +51,15 @@ def test_near_equals_brute_force(spark):
         want = {(a, b, d) for a in marks for b in marks if a != b and (d := (int(a, 16) ^ int(b, 16)).bit_count()) <= radius}
         got = [tuple(r) for r in fp.near(df, df, radius).collect()]
         assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_near_texts_of_any_length():
+    """Dropping the last word changes little, whatever the length."""
+    rng = random.Random(4)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=rng.randrange(2, 9))) for _ in range(2000)]
+    for n in [30, 40, 47, 48, 49, 60, 100, 191, 192, 193, 250]:
+        got = []
+        for _ in range(20):
+            w = rng.choices(vocabulary, k=n)
+            got.append(fp.likeness(fp.fingerprint(" ".join(w)), fp.fingerprint(" ".join(w[:-1]))))
+        assert sum(got) / len(got) > 0.9, (n, got)
