@@ -65,7 +65,12 @@ def run(spark: SparkSession, argv: list[str]) -> int:
         return int(bool(torn))
     elif a.command == "reindex":
         held = ledger.read_ledger(spark, a.ledger)
-        ledger.stored_files(spark, a.raw).join(held.select("doc_id"), "doc_id", "left_anti").orderBy("path").show(1000, truncate=False)
+        lacking = ledger.stored_files(spark, a.raw).join(held.select("doc_id"), "doc_id", "left_anti").orderBy("path")
+        n = 0
+        for r in lacking.toLocalIterator():
+            print(r.doc_id, r.path)
+            n += 1
+        print(f"{n} stored files that the ledger lacks")
     elif a.command == "recover":
         failures = spark.read.schema(schema.FAILURES).json(a.failures).withColumn("pos", F.monotonically_increasing_id())
         captures = spark.read.schema("original string, stamp string").json(a.captures)
