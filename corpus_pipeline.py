@@ -20,6 +20,11 @@ from quillstone.llm import bpe, mixing, pii, quality, simhash
 from quillstone.llm.common import materialize
 from quillstone.session import ship
 
+#: A run on real data names its key in this session setting; the other one is of
+#: the synthetic tables only and keeps nothing secret.
+KEY_SETTING = "spark.quillstone.pii.key"
+CONTRACT_KEY = "quillstone contract pipeline"
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
@@ -33,7 +38,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    out = pii.pseudonymize(docs, spans=None)
+    key = spark.conf.get(KEY_SETTING, None) or CONTRACT_KEY
+    out = pii.pseudonymize(docs, key=key.encode(), spans=None)
     if "n_chars" in docs.columns:  # an address may get longer or shorter
         out = out.withColumn("n_chars", F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars")))
     return out
