@@ -6,6 +6,13 @@ network permutes the integers of that many bits, and cycle walking stays inside
 the format.  The permutation depends on the key and the format only, so equal
 values stay linked across documents and the mapping can be undone with the key.
 
+Values of more than ``LONG`` letters and digits take the same rounds character
+by character: a half is shifted by a keyed stream that the other half sets, in
+linear time, so a value of any length is mixed whole.
+
+The key comes from the caller or from the session setting ``KEY_SETTING``;
+without one nothing is pseudonymised and a ValueError is raised.
+
 Kinds, in the order in which they are tried at a place: secret (a value of 8 or
 more characters after a name like token or password), email, iban (mod 97),
 ipv4 (octets to 255), date (of the years 1900 to 2099; year first, or day or
@@ -25,21 +32,23 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import column, others
 
-KEY = b"quillstone pseudonym key"
+KEY_SETTING = "spark.quillstone.pii.key"
 ROUNDS = 8
+LONG = 64
 KINDS = ("secret", "email", "iban", "ipv4", "date", "ssn", "card", "phone")
 CACHE_VALUES = 100_000
 
 _PATTERN = re.compile(
     r"""
-    (?P<secret>(?i:\b(?:[a-z0-9]+[_\-.])*(?:token|secret|password|passwd|pwd|api[_\-]?key|access[_\-]?key|auth[_\-]?key|private[_\-]?key)\b["']?\s*(?::|=>?)\s*["']?)(?P<value>[A-Za-z0-9+/_\-]{8,}))
+    (?P<secret>(?i:(?<![^\W_])(?:token|secret|password|passwd|pwd|api[_\-]?key|access[_\-]?key|auth[_\-]?key|private[_\-]?key)\b["']?\s*(?::|=>?)\s*["']?)(?P<value>[A-Za-z0-9+/_\-]{8,}))
     |(?P<email>(?<![A-Za-z0-9._%+\-])[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63}@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9]))
     |(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
     |(?P<ipv4>(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9]))
@@ -63,10 +72,28 @@ class Feistel:
     def __init__(self, key: bytes):
         self.key = hashlib.blake2b(key, digest_size=32).digest()
 
-    def _f(self, tweak: bytes, i: int, half: int, bits: int) -> int:
-        d = hashlib.blake2b(half.to_bytes((bits + 7) // 8 or 1, "big"), key=self.key, person=bytes([i]), salt=hashlib.blake2b(tweak, digest_size=16).digest(), digest_size=max(8, min(64, (bits + 7) // 8 + 8))).digest()
+    def _f(self, tweak: bytes, i: int, half: bytes, size: int) -> bytes:
+        """``size`` keyed bytes, all of them set by the whole of ``half``."""
+        d = hashlib.blake2b(half, key=self.key, person=bytes([i]), salt=hashlib.blake2b(tweak, digest_size=16).digest()).digest()
+        return d[:size] if size <= len(d) else hashlib.shake_256(d).digest(size)
+
+    def _bits(self, tweak: bytes, i: int, half: int, bits: int) -> int:
+        d = self._f(tweak, i, half.to_bytes((bits + 7) // 8 or 1, "big"), (bits + 7) // 8 + 8)
         return int.from_bytes(d, "big") & ((1 << bits) - 1)
 
+    def shift(self, digits: np.ndarray, radix: np.ndarray, tweak: bytes, back: bool = False) -> np.ndarray:
+        """The image of ``digits``, each below its ``radix``: an alternating
+        network whose halves are shifted by keyed streams."""
+        cut = len(digits) // 2
+        parts = [slice(0, cut), slice(cut, None)]
+        out = digits.copy()
+        for i in reversed(range(ROUNDS)) if back else range(ROUNDS):
+            here, other = parts[i % 2], parts[1 - i % 2]
+            stream = np.frombuffer(self._f(tweak, i, out[other].astype(np.uint8).tobytes(), 8 * len(out[here])), np.uint64)
+            step = (stream % radix[here].astype(np.uint64)).astype(np.int64)
+            out[here] = (out[here] - step if back else out[here] + step) % radix[here]
+        return out
+
     def permute(self, x: int, n: int, tweak: bytes, keeps: Callable[[int], bool] | None = None, back: bool = False) -> int:
         """The image of x in range(n); ``keeps`` narrows the range to what it
         is true of, x included."""
@@ -79,9 +106,9 @@ class Feistel:
             a, b = x >> half, x & mask
             for i in range(ROUNDS):
                 if back:
-                    a, b = b ^ self._f(tweak, ROUNDS - 1 - i, a, half), a
+                    a, b = b ^ self._bits(tweak, ROUNDS - 1 - i, a, half), a
                 else:
-                    a, b = b, a ^ self._f(tweak, i, b, half)
+                    a, b = b, a ^ self._bits(tweak, i, b, half)
             x = a << half | b
             if x < n and (keeps is None or keeps(x)):
                 return x
@@ -112,7 +139,7 @@ def _refill(value: str, new: Iterator[str]) -> str:
 class Pseudonyms:
     """Replaces values; with ``back`` it restores them."""
 
-    def __init__(self, key: bytes = KEY, back: bool = False):
+    def __init__(self, key: bytes, back: bool = False):
         self.cipher, self.back = Feistel(key), back
         self.known: dict[tuple[str, str], str | None] = {}
 
@@ -125,12 +152,15 @@ class Pseudonyms:
         """Digits, letters and capitals each stay of their kind; ``hexes``:
         every character is one of these, and some letter among them stays."""
         kinds = [hexes or next((a for a in _ALPHABETS if c in a), "") for c in value]
+        tweak += bytes(len(a) for a in kinds)
+        if len(value) > LONG:
+            return self._shifted(value, kinds, tweak, hexes)
         n, x = 1, 0
         for c, a in zip(value, kinds):
             if a:
                 n, x = n * len(a), x * len(a) + a.index(c)
         letter = (lambda y: any(c in "abcdef" for c in f"{y:x}")) if hexes else None
-        x = self.cipher.permute(x, n, tweak + bytes(len(a) for a in kinds), letter, self.back)
+        x = self.cipher.permute(x, n, tweak, letter, self.back)
         out = []
         for c, a in zip(reversed(value), reversed(kinds)):
             if a:
@@ -139,6 +169,19 @@ class Pseudonyms:
             out.append(c)
         return "".join(reversed(out))
 
+    def _shifted(self, value: str, kinds: list[str], tweak: bytes, hexes: str) -> str:
+        at = [k for k, a in enumerate(kinds) if a]
+        radix = np.array([len(kinds[k]) for k in at], np.int64)
+        digits = np.array([kinds[k].index(value[k]) for k in at], np.int64)
+        while True:
+            digits = self.cipher.shift(digits, radix, tweak, self.back)
+            if not hexes or (digits > 9).any():
+                break
+        out = list(value)
+        for k, d in zip(at, digits.tolist()):
+            out[k] = kinds[k][d]
+        return "".join(out)
+
     def secret(self, v: str) -> str | None:
         if not any(c in _ALPHABETS[0] for c in v):
             return None
@@ -259,9 +302,18 @@ class Pseudonyms:
         return max(k, lo + 1)
 
 
-def pseudonymize(df: DataFrame, text: str = "text", key: bytes = KEY, back: bool = False, spans: str | None = "spans") -> DataFrame:
+def session_key(spark: SparkSession) -> bytes:
+    """The key that the session's settings name."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        raise ValueError(f"no key for pseudonyms: pass one or set {KEY_SETTING}")
+    return key.encode()
+
+
+def pseudonymize(df: DataFrame, text: str = "text", key: bytes | None = None, back: bool = False, spans: str | None = "spans") -> DataFrame:
     """All columns with the text replaced, and ``spans``: an array of (kind,
     start, end) of the pseudonyms in the new text."""
+    key = key or session_key(df.sparkSession)
     names = others(df, spans) if spans else df.columns
     df, at = df.select(*names), names.index(text)
     span = pa.list_(pa.struct([("kind", pa.string()), ("from", pa.int32()), ("to", pa.int32())]))

@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Of the synthetic tables only; it keeps nothing secret.
+CONTRACT_KEY = b"quillstone contract query"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -75,7 +79,8 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import pii
 
-    return pii.span_counts(pii.pseudonymize(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.span_counts(pii.pseudonymize(docs, key=CONTRACT_KEY))
 
 
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ def test_operators(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} string" for n in NAMES))
     made = [
         bpe.decode(bpe.encode(df)), jpeg.features(jpeg.store(df)), fingerprints.fingerprints(df), fingerprints.fingerprint_edits(df), simhash.fingerprints(df, seeds=(1, 2)), simhash.near_duplicates(df),
-        quality.with_statistics(df), quality.score_quality(df, df.selectExpr("doc_id", "1 as quality", "text")), pii.pseudonymize(df), mixing.mix(df), mixing.mixed_documents(df), simhash.unique_documents(df),
+        quality.with_statistics(df), quality.score_quality(df, df.selectExpr("doc_id", "1 as quality", "text")), pii.pseudonymize(df, key=b"k"), mixing.mix(df), mixing.mixed_documents(df), simhash.unique_documents(df),
     ]
     for out in made:
         assert len(set(out.columns)) == len(out.columns)

@@ -1,5 +1,8 @@
 import datetime
+import random
 import re
+import string
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -7,6 +10,7 @@ from hypothesis import strategies as st
 
 from quillstone.llm import pii, queries
 
+KEY = b"key of the tests"
 PRIVATE = {
     "email": "anna.b-7@mail3.example.com",
     "card": "4226 9902 0008 9102 ".strip(),
@@ -20,7 +24,7 @@ PRIVATE = {
 
 @pytest.fixture(scope="module")
 def names():
-    return pii.Pseudonyms()
+    return pii.Pseudonyms(KEY)
 
 
 def test_kinds(names):
@@ -32,7 +36,7 @@ def test_kinds(names):
         assert a == b != value and len(text.split(",")) == 2
         if kind not in ("ipv4",):
             assert re.sub("[0-9]", "0", a) == re.sub("[0-9]", "0", value) or kind in ("email", "iban")
-        assert pii.Pseudonyms(back=True).replace(text)[0] == f"x {value}, y {value}!"
+        assert pii.Pseudonyms(KEY, back=True).replace(text)[0] == f"x {value}, y {value}!"
         assert pii.Pseudonyms(b"other").replace(value)[0] not in (a, value)
 
 
@@ -69,15 +73,15 @@ def test_feistel_hits_each_value_once():
 @given(st.dates(datetime.date(1900, 1, 1), datetime.date(2099, 12, 31)), st.sampled_from(["%Y-%m-%d", "%d.%m.%Y", "%m/%d/%Y", "%d/%m/%Y", "%Y/%m/%d"]))
 def test_dates_round_trip(d, form):
     value = d.strftime(form)
-    new = pii.Pseudonyms().date(value)
-    assert new is not None and pii.Pseudonyms(back=True).date(new) == value
+    new = pii.Pseudonyms(KEY).date(value)
+    assert new is not None and pii.Pseudonyms(KEY, back=True).date(new) == value
 
 
 def test_query(spark, sf_dir):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     got = queries.op6_pii_pseudonyms(spark, sf_dir).collect()
     assert len(got) == len(docs)
-    back = pii.Pseudonyms(back=True)
+    back = pii.Pseudonyms(queries.CONTRACT_KEY, back=True)
     changed = 0
     for r in got:
         n = sum(r[f"n_{k}"] for k in pii.KINDS)
@@ -93,6 +97,60 @@ def test_query(spark, sf_dir):
 def test_edge_cases(spark):
     rows = [(1, None, "a"), (2, "", "a"), (3, "call +49 30 1234567 " * 20_000, "a"), (3, "x", "a"), (3, "x", "a")]
     df = spark.createDataFrame(rows, "doc_id long, text string, kind string")
-    out = {(r.doc_id, r.text and len(r.text)): r for r in pii.pseudonymize(df).collect()}
+    out = {(r.doc_id, r.text and len(r.text)): r for r in pii.pseudonymize(df, key=KEY).collect()}
     assert out[(1, None)].spans == [] and out[(2, "")].spans == [] and len(out[(3, 400_000)].spans) == 20_000
-    assert pii.pseudonymize(df.limit(0)).count() == 0
+    assert pii.pseudonymize(df.limit(0), key=KEY).count() == 0
+
+
+@pytest.mark.parametrize("signs", [string.ascii_letters + string.digits, "0123456789abcdef", string.ascii_letters + string.digits + "+/_-"])
+def test_long_secrets_change_everywhere(signs):
+    r = random.Random(7)
+    for size in (20, 63, 64, 65, 100, 300, 400, 600, 5_000):
+        value = "7a" + "".join(r.choices(signs, k=size - 2))
+        text, spans = pii.Pseudonyms(KEY).replace(f"api_key={value};")
+        ((kind, lo, hi),) = spans
+        new = text[lo:hi]
+        assert kind == "secret" and len(new) == size
+        # As many equal characters as chance gives, and in no part more.
+        for part in range(0, size - 99, 100):
+            assert sum(a == b and a.isalnum() for a, b in zip(value[part : part + 100], new[part : part + 100])) < 35
+        other = value[:-1] + ("b" if value[-1] != "b" else "a")
+        there = pii.Pseudonyms(KEY).of("secret", other)
+        if size >= 100:
+            assert sum(a != b for a, b in zip(new, there)) > size // 2
+        assert pii.Pseudonyms(KEY, back=True).replace(text)[0] == f"api_key={value};"
+
+
+def test_characterwise_network_is_a_permutation():
+    import numpy as np
+
+    f, radix = pii.Feistel(b"k"), np.array([3, 10, 4])
+    every = {tuple(f.shift(np.array([a, b, c]), radix, b"t").tolist()) for a in range(3) for b in range(10) for c in range(4)}
+    assert len(every) == 120
+
+
+@pytest.mark.parametrize("piece", ["a-", "a.", "a_", "token ", "api_", "a@", "1-", "+4 ", "AB12", "a@a."])
+def test_long_runs_take_linear_time(piece):
+    text = "1 " + piece * (1_000_000 // len(piece))
+    began = time.process_time()
+    pii.Pseudonyms(KEY).replace(text)
+    assert time.process_time() - began < 5
+
+
+def test_a_secret_of_a_million_characters():
+    value = "9" + "aZ3" * 333_333
+    began = time.process_time()
+    text, spans = pii.Pseudonyms(KEY).replace("password: " + value)
+    assert len(spans) == 1 and pii.Pseudonyms(KEY, back=True).replace(text)[0] == "password: " + value
+    assert time.process_time() - began < 10
+
+
+def test_no_key_no_pseudonyms(spark):
+    df = spark.createDataFrame([(1, "4111111111111111")], "doc_id long, text string")
+    with pytest.raises(ValueError, match=pii.KEY_SETTING):
+        pii.pseudonymize(df)
+    spark.conf.set(pii.KEY_SETTING, KEY.decode())
+    try:
+        assert pii.pseudonymize(df).first().text == pii.pseudonymize(df, key=KEY).first().text != "4111111111111111"
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)

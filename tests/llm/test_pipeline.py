@@ -60,7 +60,7 @@ def test_near_dups(tables):
 
 def test_pii(tables):
     before, after = ({r.doc_id: r for r in t.collect()} for t in tables[2:4])
-    back = pii.Pseudonyms(back=True)
+    back = pii.Pseudonyms(corpus_pipeline.CONTRACT_KEY.encode(), back=True)
     assert before.keys() == after.keys()
     assert all(back.replace(after[d].text)[0] == r.text and after[d].n_chars == len(after[d].text) for d, r in before.items())
 
