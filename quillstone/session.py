@@ -11,12 +11,18 @@ from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
 
+#: Bytes of a batch between the JVM and a Python worker, where the session names
+#: none: with rows of whole texts Spark's 64 MB weigh several times on an executor.
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
 
 def ship(spark: SparkSession) -> SparkSession:
     """Send the package's modules to the executors, once per application.
 
     The driver serves one small archive; executors that join later, or replace
     lost ones, fetch it as well."""
+    if not spark.conf._jconf.contains(BATCH[0]):
+        spark.conf.set(*BATCH)
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         home = Path(__file__).resolve().parent
