@@ -29,39 +29,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_slices, column, flat_bytes, others, ragged
+from .common import alone, byte_slices, column, flat_bytes, others, ragged
 
 MATRIX_BYTES = 256
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 CACHE_PIECES = 250_000
 NONE = np.int32(2**31 - 1)
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
-class Bpe:
-    """A rank file's encoder and decoder; one for each Python worker."""
+def _ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
-    _open: dict[str, "Bpe"] = {}
+
+class _Opened:
+    """A rank file's tables; one of a kind for each Python worker."""
+
+    _open: dict[tuple, "_Opened"] = {}
 
     @classmethod
-    def get(cls, path: str) -> "Bpe":
-        if path not in cls._open:
-            cls._open[path] = cls(path)
-        return cls._open[path]
+    def get(cls, path: str):
+        alone(__name__, _Opened._open.clear)
+        if (cls, path) not in _Opened._open:
+            _Opened._open[cls, path] = cls(path)
+        return _Opened._open[cls, path]
+
+
+class Words(_Opened):
+    """The decoder."""
 
     def __init__(self, path: str):
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.ranks = ranks
-        self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
-        n = max(ranks.values()) + 1
-        words = [b""] * n
+        ranks = _ranks(path)
+        words = [b""] * (max(ranks.values()) + 1)
         for word, i in ranks.items():
             words[i] = word
         self.word_len = np.array([len(w) for w in words], np.int64)
         self.word_at = np.concatenate([[0], np.cumsum(self.word_len)])
         self.word_bytes = np.frombuffer(b"".join(words), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes, number of bytes of each id)."""
+        n = self.word_len[ids]
+        return self.word_bytes[ragged(self.word_at[ids], n)], n
+
+
+class Bpe(_Opened):
+    """The encoder."""
+
+    def __init__(self, path: str):
+        self.ranks = ranks = _ranks(path)
+        self.pattern = regex.compile(public_tokenizers.PATTERN)
+        self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
+        self.pair: dict[int, int] = {}
         self._pairs(ranks)
         self._forget()
 
@@ -91,7 +111,6 @@ class Bpe:
             rest[first] = False
             todo = todo[rest]
             at[todo] = (at[todo] + 1) & self.mask
-        self.pair = dict(zip(zip(left, right), to.tolist()))
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return (keys * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
@@ -147,7 +166,10 @@ class Bpe:
         ids = self.byte_ids[np.frombuffer(piece, np.uint8)].tolist()
         n = len(ids)
         after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := self.pair.get((ids[i], ids[i + 1]))) is not None]
+        if not self.pair:
+            used = self.values != NONE
+            self.pair = dict(zip(self.keys[used].tolist(), self.values[used].tolist()))
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := self.pair.get(ids[i] << 32 | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
             r, i, a, b = heapq.heappop(heap)
@@ -158,7 +180,7 @@ class Bpe:
             if after[k] < n:
                 before[after[k]] = i
             for x, y in ((before[i], i), (i, after[i])):
-                if x >= 0 and y < n and (s := self.pair.get((ids[x], ids[y]))) is not None:
+                if x >= 0 and y < n and (s := self.pair.get(ids[x] << 32 | ids[y])) is not None:
                     heapq.heappush(heap, (s, x, ids[x], ids[y]))
         return np.array([t for t, ok in zip(ids, alive) if ok], np.int32)
 
@@ -232,11 +254,6 @@ class Bpe:
         n = [c if kind == "ids" else int(lengths[np.fromiter(map(known.__getitem__, c), np.int64, len(c))].sum()) for kind, c in counts]
         return np.concatenate(parts), np.array(n, np.int64)
 
-    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(bytes, number of bytes of each id)."""
-        n = self.word_len[ids]
-        return self.word_bytes[ragged(self.word_at[ids], n)], n
-
 
 def _binary(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
@@ -274,12 +291,12 @@ def decode(df: DataFrame, ids: str = "ids", decoded: str = "decoded", vocabulary
     df, at = df.select(*names), names.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe.get(path)
+        words = Words.get(path)
         for batch in batches:
             data, offsets = flat_bytes(batch.column(at))
             for i, j in byte_slices(offsets, SLICE_BYTES):
                 own = np.frombuffer(data[offsets[i] : offsets[j]].tobytes(), "<u4").astype(np.int64)
-                out, n = bpe.decode(own)
+                out, n = words.decode(own)
                 ends = np.concatenate([[0], np.cumsum(n)])[(offsets[i : j + 1] - offsets[i]) // 4]
                 rows = [batch.column(k).slice(i, j - i) for k in range(len(names))]
                 yield pa.RecordBatch.from_arrays([*rows, _binary(out, np.diff(ends))], names=[*(f"k{k}" for k in range(len(names))), "decoded"])

@@ -3,10 +3,11 @@ the cluster shares, and zero-copy views of Arrow string columns."""
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,22 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def collect_garbage(spark: SparkSession) -> None:
+    """Spark deletes shuffle files once the driver has collected the plan that
+    wrote them, and nothing else may fill its heap for hours."""
+    spark.sparkContext._jvm.System.gc()
+
+
+def drop(*tables: DataFrame) -> None:
+    """Deletes materialised tables that no later step reads."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            if "/quillstone/" in folder:
+                path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bucketed(df: DataFrame, key: str) -> DataFrame:
     """``df`` as a bucketed table in the shared folder: joins on ``key`` move the
     other side only.  ``df`` comes from an aggregate by ``key``, whose shuffle
@@ -53,9 +70,28 @@ def bucketed(df: DataFrame, key: str) -> DataFrame:
     path = shared_dir(spark)
     name = f"quillstone_{path.rpartition('/')[2]}"
     df.write.bucketBy(n, key).option("path", path).saveAsTable(name)
+    del df
+    collect_garbage(spark)
     return spark.table(name)
 
 
+_releases: dict[str, Callable[[], None]] = {}
+
+
+def alone(owner: str, release: Callable[[], None] | None = None) -> None:
+    """What other operators keep in this Python worker goes, freed memory back to
+    the system; ``release`` lets go of the caller's own tables.  Workers are used
+    again by later stages, and idle ones count towards an executor's memory."""
+    for name in [n for n in _releases if n != owner]:
+        _releases.pop(name)()
+    if release:
+        _releases[owner] = release
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def flat_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column; nulls are empty."""
     if col.null_count:

@@ -35,11 +35,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from .common import bucketed, column, materialize, others
+from .common import alone, bucketed, collect_garbage, column, drop, materialize, others
 
 SHINGLE = 4
 RADIUS = 4
@@ -48,7 +48,7 @@ SUBTREE = 8_192
 TWO_BLOCKS = 4_096  # fingerprints to a subtree
 PIECE = 1 << 18
 #: Pairs of nodes in one step of the walk, and leaves below which a pair of nodes is compared at once.
-FRONT = 1 << 19
+FRONT = 1 << 17
 LEAF = 8
 
 
@@ -244,6 +244,7 @@ def links(prints: DataFrame, radius: int = RADIUS, agree: int | None = None, ide
     rows = small.unionByName(parts).repartition("trie", "subtree", "pair").sortWithinPartitions("trie", "subtree", "pair")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone(__name__)
         held: list[pa.RecordBatch] = []
         size = 0
         for b in batches:
@@ -371,16 +372,16 @@ WORD_BITS = 40
 WORD_RADIUS = 5
 SIMILARITY = 0.8
 STAGE_SHINGLE = 5
+SKETCH = 512  # bits
 #: Texts whose shingles are counted, and the most of them that count as common.
 SAMPLE = 10_000
 COMMON = 100_000
-#: Texts of a shingle that are compared at once, and that need no neighbours
-#: first; pairs that are verified in one
-#: turn, and the members of a component that a text tries in the first.
+#: Texts of a shingle that are compared without their sketches, and the most
+#: that are compared at once; partners that a text of a more common shingle
+#: tries in the first turn and in the second.
+FEW = 8
 PART = 2_048
-FEW = 32
-AT_ONCE = 1 << 20
-TURN = 4
+TURNS = (32, 512)
 
 
 def word_simhash(words: list[bytes]) -> np.ndarray:
@@ -409,6 +410,46 @@ def shingle_hashes(words: list[bytes], shingle: int = STAGE_SHINGLE) -> np.ndarr
     return np.unique(np.fromiter((xxhash.xxh3_64_intdigest(b" ".join(words[i : i + shingle])) for i in range(n)), np.uint64, n)).astype(np.int64)
 
 
+def sketch(shingles: np.ndarray, bits: int = SKETCH) -> np.ndarray:
+    """Parities of the shingles in each of so many buckets, a power of two; two
+    sets differ in at least as many elements as parities."""
+    odd = np.bincount(shingles & (bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
+def differing(a: np.ndarray, b: np.ndarray) -> int:
+    """Parities that differ, the longer sketch folded to the shorter."""
+    while len(a) != len(b):
+        if len(a) < len(b):
+            a, b = b, a
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count((a ^ b).view(np.uint64)).sum())
+
+
+def prefix(shingles: np.ndarray, common: np.ndarray, rank: np.ndarray, similarity: float) -> tuple[np.ndarray, int]:
+    """The first shingles of a set, and how many are not common; these come in
+    the order of their hashes, common ones last.
+
+    A set of n has at most s = (1 - similarity) n elements that a similar set
+    lacks, so their least common element is one of the first s + 1 of both.  By
+    hash the first k of r others all lack with a probability of at most
+    (s / r)^k; as many as bring that below 2^-64, a hash collision, are enough."""
+    n = len(shingles)
+    most = n - int(np.ceil(similarity * n - 1e-9))
+    where = np.minimum(np.searchsorted(common, shingles), max(0, len(common) - 1))
+    order = np.where(common[where] == shingles, rank[where] + 1, 0) if len(common) else np.zeros(n, np.int64)
+    others = int((order == 0).sum())
+    size = most + 1
+    if others > most > 0:
+        size = min(size, int(np.ceil(64 / np.log2(others / most))))
+    first = np.lexsort((shingles, order))[:size]
+    return shingles[first], min(size, others)
+
+
+def _words(text: pa.Scalar) -> list[bytes]:
+    return (text.as_buffer().to_pybytes() if text.is_valid else b"").lower().split()
+
+
 def _per_text(df: DataFrame, columns: str, of) -> DataFrame:
     """``of(words)`` of each row's text, as columns behind all others."""
     names = [c for c in df.columns if c != "text"]
@@ -416,10 +457,11 @@ def _per_text(df: DataFrame, columns: str, of) -> DataFrame:
     kinds = {"long": pa.int64(), "array<long>": pa.list_(pa.int64())}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone(__name__)
         for b in batches:
-            for i in range(0, len(b), 1_000):
-                part = b.slice(i, 1_000)
-                made = [of((t.as_buffer().to_pybytes() if t.is_valid else b"").lower().split()) for t in column(part, "_text")]
+            for i in range(0, len(b), 500):
+                part = b.slice(i, 500)
+                made = [of(_words(t)) for t in column(part, "_text")]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *(pa.array(x, kinds[t]) for x, (_, t) in zip(zip(*made), added))], names=[*(f"k{k}" for k in range(len(names))), *(n for n, _ in added)])
 
     given = df.select(*[F.col(c).alias(f"k{k}") for k, c in enumerate(names)], F.col("text").alias("_text"))
@@ -429,16 +471,43 @@ def _per_text(df: DataFrame, columns: str, of) -> DataFrame:
     return given.mapInArrow(run, schema).toDF(*names, *(n for n, _ in added))
 
 
-def word_links(texts: DataFrame) -> DataFrame:
-    """(a, b) keys of candidate links between distinct texts (key, text), quick
-    to find where single words were edited.
+def common_shingles(texts: DataFrame) -> np.ndarray:
+    """Shingles that several of about SAMPLE texts share, rarest first.  They
+    only set the order of the prefixes: any order gives the same links."""
+    every = max(1, texts.count() // SAMPLE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for t in column(b, "text"):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_hashes(_words(t)))], names=["token"])
+
+    some = texts.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0).select("text").mapInArrow(run, "token long")
+    n = some.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
+    top = n.orderBy(F.col("n").desc(), "token").limit(COMMON).collect()
+    return np.array([r["token"] for r in reversed(top)], np.int64)
+
+
+def marked(texts: DataFrame) -> DataFrame:
+    """What the stage keeps of each text (key, text): the word fingerprints f0
+    to f3, n shingles, their sketch of n bits or more and one of SKETCH."""
+
+    def of(words: list[bytes]) -> tuple:
+        h = shingle_hashes(words)
+        return *word_simhash(words).tolist(), len(h), sketch(h, max(SKETCH, 1 << (len(h) - 1).bit_length())), sketch(h)
+
+    return materialize(_per_text(texts, "f0 long, f1 long, f2 long, f3 long, n long, sketch array<long>, small array<long>", of))
+
+
+def word_links(marks: DataFrame) -> DataFrame:
+    """(a, b) keys of candidate links between distinct texts, quick to find
+    where single words were edited.
 
     Candidates differ in at most WORD_RADIUS bits of one of four word
     fingerprints and in at most WORD_BITS of all 256; each trie task keeps a
     minimum spanning forest of them, so near copies by the thousand cost no
     pairs."""
-    prints = materialize(_per_text(texts, "f0 long, f1 long, f2 long, f3 long", lambda words: tuple(word_simhash(words).tolist())))
     names = [f"f{k}" for k in range(WORD_SEEDS)]
+    prints = marks.select("key", *names)
     # Texts with the same fingerprints (reordered words) go with one of them.
     groups = materialize(prints.groupBy(*names).agg(F.min("key").alias("ident")))
     same = prints.join(groups, names).where("key <> ident").select(F.col("key").alias("a"), F.col("ident").alias("b"))
@@ -453,95 +522,95 @@ def word_links(texts: DataFrame) -> DataFrame:
     return found
 
 
-def sketch(shingles: np.ndarray) -> np.ndarray:
-    """Parities of the shingles in each of 64 or more buckets, as many as
-    shingles; two sets differ in at least as many elements as parities."""
-    size = 1 << max(6, (len(shingles) - 1).bit_length())
-    odd = np.bincount(shingles & (size - 1), minlength=size) & 1
-    return np.packbits(odd.astype(bool)).view(np.int64)
-
-
-def differing(a: np.ndarray, b: np.ndarray) -> int:
-    """Parities that differ, the longer sketch folded to the shorter."""
-    while len(a) != len(b):
-        if len(a) < len(b):
-            a, b = b, a
-        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
-    return int(np.bitwise_count((a ^ b).view(np.uint64)).sum())
-
-
-def verified(texts: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+def verified(texts: DataFrame, marks: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) of ``found`` whose shingle sets are that similar; the
     sets of pairs whose sketches differ too much are not compared."""
     found = materialize(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    involved = found.select(F.col("a").alias("key")).unionByName(found.select(F.col("b").alias("key"))).distinct()
+    ka = marks.select(F.col("key").alias("a"), F.col("sketch").alias("ka"), F.col("n").alias("na"))
+    kb = marks.select(F.col("key").alias("b"), F.col("sketch").alias("kb"), F.col("n").alias("nb"))
 
-    def of(words: list[bytes]) -> tuple:
-        h = shingle_hashes(words)
-        return h, sketch(h), len(h)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
-            na, nb = column(t, "na").to_numpy(), column(t, "nb").to_numpy()
+            both = column(t, "na").to_numpy() + column(t, "nb").to_numpy()
             bits = np.fromiter((differing(np.array(x.values), np.array(y.values)) for x, y in zip(column(t, "ka"), column(t, "kb"))), np.int64, len(t))
-            yield t.select(["a", "b"]).filter(pa.array(bits <= (1 - similarity) / (1 + similarity) * (na + nb) + 1e-6))
+            yield t.select(["a", "b"]).filter(pa.array(bits <= (1 - similarity) / (1 + similarity) * both + 1e-6))
 
-    sets = materialize(_per_text(texts.join(involved, "key"), "shingles array<long>, sketch array<long>, n long", of))
-    ka = sets.select(F.col("key").alias("a"), F.col("sketch").alias("ka"), F.col("n").alias("na"))
-    kb = sets.select(F.col("key").alias("b"), F.col("sketch").alias("kb"), F.col("n").alias("nb"))
-    found = materialize(found.join(ka, "a").join(kb, "b").select("a", "b", "ka", "kb", "na", "nb").mapInArrow(run, "a long, b long"))
+    found = materialize(found.join(ka, "a").join(kb, "b").select("a", "b", "ka", "kb", "na", "nb").mapInArrow(close, "a long, b long"))
+    involved = found.select(F.col("a").alias("key")).unionByName(found.select(F.col("b").alias("key"))).distinct()
+    sets = materialize(_per_text(texts.join(involved, "key"), "shingles array<long>", lambda words: (shingle_hashes(words),)))
     sa = sets.select(F.col("key").alias("a"), F.col("shingles").alias("sa"))
     sb = sets.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
     both = found.join(sa, "a").join(sb, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
-    return materialize(both.where(F.col("common") >= similarity * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b"))
+    out = materialize(both.where(F.col("common") >= similarity * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b"))
+    drop(sets)
+    return out
 
 
-def common_shingles(texts: DataFrame) -> np.ndarray:
-    """Shingles that several of about SAMPLE texts share, rarest first.  They
-    only set the order of the prefixes: any order gives the same links."""
-    every = max(1, texts.count() // SAMPLE)
+def _rooted(rows: DataFrame, root: DataFrame, key: str = "key", name: str = "root") -> DataFrame:
+    root = root.select(F.col("node").alias(key), F.col("root").alias(name))
+    return rows.join(root, key, "left").withColumn(name, F.coalesce(name, key))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for t in column(b, "text"):
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_hashes((t.as_buffer().to_pybytes() if t.is_valid else b"").lower().split()))], names=["token"])
 
-    some = texts.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0).select("text").mapInArrow(run, "token long")
-    n = some.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 2")
-    top = n.orderBy(F.col("n").desc(), "token").limit(COMMON).collect()
-    return np.array([r["token"] for r in reversed(top)], np.int64)
+def _draw(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A number in [0, 1) for each pair of keys a < b, the same in every task."""
+    h = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ b.astype(np.uint64)
+    for odd in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        h = (h ^ h >> np.uint64(33)) * np.uint64(odd)
+    return (h >> np.uint64(11)) / float(1 << 53)
 
 
-def prefix(shingles: np.ndarray, common: np.ndarray, rank: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """The first shingles of a set, common ones last, and whether each is
-    common.  Sets of that similarity share one of so many, at the least."""
-    n = len(shingles)
-    size = n - int(np.ceil(similarity * n - 1e-9)) + 1
-    where = np.minimum(np.searchsorted(common, shingles), max(0, len(common) - 1))
-    order = np.where(common[where] == shingles, rank[where] + 1, 0) if len(common) else np.zeros(n, np.int64)
-    first = np.lexsort((shingles, order))[:size]
-    return shingles[first], order[first] > 0
+def _enough(size_a: np.ndarray, at_a: np.ndarray, size_b: np.ndarray, at_b: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether two sets can be that similar by their sizes, and by what is left
+    of them from a common shingle on."""
+    both = similarity / (1 + similarity) * (size_a + size_b) - 1e-6
+    return (np.minimum(size_a, size_b) >= both) & (np.minimum(size_a - at_a, size_b - at_b) >= both)
+
 
+def shared_prefixes(texts: DataFrame, root: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(a, b) of texts of different components that share a prefix shingle of
+    at most FEW texts and can be that similar by size and place; and
+    (token, key, place) of the common shingles, those of more texts.
 
-def shared_prefixes(texts: DataFrame, similarity: float) -> DataFrame:
-    """(token, key, place) of the prefix shingles that more than one text has;
-    place is the size of the set << 32, plus the position of the shingle."""
+    place is the size of the set << 32, plus the position of the shingle; its
+    bit 31 marks the shingles that ``common_shingles`` names."""
     listed = common_shingles(texts)
     common, rank = np.sort(listed), np.argsort(listed)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        alone(__name__)
         for b in batches:
-            for lo in range(0, len(b), 1_000):
-                part, made = b.slice(lo, 1_000), []
-                keys = column(part, "key").to_numpy()
-                for key, t in zip(keys, column(part, "text")):
-                    h = shingle_hashes((t.as_buffer().to_pybytes() if t.is_valid else b"").lower().split())
-                    token, hot = prefix(h, common, rank, similarity)
-                    made.append((token, np.full(len(token), key), (len(h) << 32) + np.arange(len(token)), np.where(hot, key, 0)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*made)], names=["token", "key", "place", "salt"])
-
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+            for lo in range(0, len(b), 500):
+                part, made = b.slice(lo, 500), []
+                for key, own, t in zip(column(part, "key").to_numpy(), column(part, "root").to_numpy(), column(part, "text")):
+                    h = shingle_hashes(_words(t))
+                    token, rare = prefix(h, common, rank, similarity)
+                    at = np.arange(len(token))
+                    made.append((token, np.full(len(token), key), (len(h) << 32) + at + ((at >= rare) << 31), np.full(len(token), own)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*made)], names=["token", "key", "place", "root"])
+
+    def pairs(t: pa.Table, again: int | None) -> Iterator[pa.RecordBatch]:
+        """``again``: a shingle of more than FEW texts that goes on in t."""
+        token, key, place, own = (t[c].to_numpy() for c in ("token", "key", "place", "root"))
+        n = np.unique(token, return_inverse=True, return_counts=True)
+        many = (n[2][n[1]] > FEW) | (place >> 31 & 1 > 0)
+        if again is not None:
+            many |= token == again
+        if many.any():
+            yield pa.RecordBatch.from_arrays([pa.array(x[many]) for x in (token, key, place & ~(1 << 31))], names=["token", "a", "b"])
+        token, key, place, own = (x[~many] for x in (token, key, place, own))
+        size, at = place >> 32, place & ((1 << 31) - 1)
+        for step in range(1, FEW):
+            i = np.flatnonzero(token[step:] == token[:-step])
+            if not len(i):
+                break
+            j = i + step
+            good = (own[i] != own[j]) & _enough(size[i], at[i], size[j], at[j], similarity)
+            found = np.unique(np.stack([np.minimum(key[i], key[j]), np.maximum(key[i], key[j])], 1)[good], axis=0)
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(found), pa.int64()), pa.array(found[:, 0]), pa.array(found[:, 1])], names=["token", "a", "b"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, again = None, None
         for b in itertools.chain(batches, [None]):
             t = [x for x in (held, b) if x is not None and len(x)]
             if not t:
@@ -549,78 +618,69 @@ def shared_prefixes(texts: DataFrame, similarity: float) -> DataFrame:
             t = pa.Table.from_batches(t).combine_chunks()
             token = t["token"].to_numpy()
             cut = len(t) if b is None else int(np.searchsorted(token, token[-1]))
-            equal = token[1:] == token[:-1]
-            keep = np.concatenate([[False], equal]) | np.concatenate([equal, [False]]) | (t["salt"].to_numpy() != 0)
-            held = t.slice(cut).to_batches()[0] if cut < len(t) else None
-            yield from t.slice(0, cut).filter(pa.array(keep[:cut])).select(["token", "key", "place"]).to_batches()
-
-    # Common shingles are dealt out by text, the others meet their likes.
-    rows = texts.select("key", "text").mapInArrow(run, "token long, key long, place long, salt long")
-    rows = rows.repartition("token", "salt").sortWithinPartitions("token")
-    return materialize(rows.mapInArrow(shared, "token long, key long, place long"))
-
-
-def _meet(t: dict, i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
-    """Which pairs of rows can still be that similar, from their first common
-    shingle on, and are not in one component."""
-    ni, nj = t["place"][i] >> 32, t["place"][j] >> 32
-    left = np.minimum(ni - (t["place"][i] & 0xFFFFFFFF), nj - (t["place"][j] & 0xFFFFFFFF))
-    return (left >= similarity / (1 + similarity) * (ni + nj) - 1e-6) & (t["root"][i] != t["root"][j])
-
-
-def _rooted(rows: DataFrame, root: DataFrame, key: str = "key", name: str = "root") -> DataFrame:
-    root = root.select(F.col("node").alias(key), F.col("root").alias(name))
-    return rows.join(root, key, "left").withColumn(name, F.coalesce(name, key))
-
-
-def neighbours(shared: DataFrame, root: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) of texts that follow each other, by size, at a shingle that more
-    than FEW share."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            t = {c: column(b, c).to_numpy() for c in ("token", "key", "place", "root")}
-            n = np.unique(t["token"], return_inverse=True, return_counts=True)
-            i = np.flatnonzero((t["token"][1:] == t["token"][:-1]) & (n[2][n[1]][1:] > FEW))
-            i = i[_meet(t, i, i + 1, similarity)]
-            yield pa.RecordBatch.from_arrays([pa.array(t["key"][i]), pa.array(t["key"][i + 1])], names=["a", "b"])
-
-    rows = _rooted(shared, root).repartitionByRange("token", "place", "key").sortWithinPartitions("token", "place", "key")
-    return rows.mapInArrow(run, "a long, b long")
-
-
-def prefix_pairs(shared: DataFrame, root: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): all pairs of texts of different components that can be that
-    similar.  A shingle of more than PART texts is dealt into parts by a hash;
-    every part, and every pair of parts, is a group of its own."""
+            if len(t) - cut > FEW:  # the last shingle's rows go on as they come
+                cut, last = len(t), int(token[-1])
+            else:
+                last = again
+            yield from pairs(t.slice(0, cut), again)
+            held, again = t.slice(cut).to_batches()[0] if cut < len(t) else None, last
+
+    rows = _rooted(texts, root).select("key", "root", "text").mapInArrow(prefixes, "token long, key long, place long, root long")
+    # Named ones are dealt out by text, the others meet their likes.
+    salt = F.when(F.expr("place & 2147483648L") != 0, F.col("key")).otherwise(F.lit(0))
+    out = materialize(rows.repartition("token", salt).sortWithinPartitions("token").mapInArrow(meet, "token long, a long, b long"))
+    return out.where("token is null").select("a", "b"), out.where("token is not null").select("token", F.col("a").alias("key"), F.col("b").alias("place"))
+
+
+def common_pairs(shared: DataFrame, marks: DataFrame, root: DataFrame, similarity: float, tried: float = 0, tries: float = float("inf")) -> DataFrame | None:
+    """(a, b) of texts of different components that share a common prefix
+    shingle and can be that similar by size, place and their sketches; None
+    where no shingle has texts of different components any more.
+
+    Of the pairs of a shingle that n texts have, those drawn from ``tried`` / n
+    to ``tries`` / n.  A shingle of more than PART texts is dealt into parts by
+    a hash; every part, and every pair of parts, is a group of its own."""
     rows = materialize(_rooted(shared, root))
-    live = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi")
-    live = materialize(live.select("token", F.ceil(F.col("n") / PART).cast("int").alias("cuts")))
-    rows = rows.join(live, "token")
+    live = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"))
+    live = materialize(live.where((F.col("lo") != F.col("hi")) & (F.col("n") > tried)).select("token", F.col("n").alias("texts"), F.ceil(F.col("n") / PART).cast("int").alias("cuts")))
+    if not live.limit(1).count():
+        return None
+    rows = materialize(rows.join(live, "token").join(marks.select("key", "small"), "key"))
     parts = rows.withColumn("range", F.pmod(F.xxhash64("key"), F.col("cuts")).cast("int"))
     parts = parts.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     lo, hi = F.least("range", "with"), F.greatest("range", "with")
-    parts = parts.select("token", "key", "place", "root", (lo * F.col("cuts") + hi + 1).alias("pair"), F.when(F.col("range") == F.col("with"), 2).when(F.col("range") < F.col("with"), 0).otherwise(1).alias("side"))
+    parts = parts.select("token", "key", "place", "root", "texts", "small", (lo * F.col("cuts") + hi + 1).alias("pair"), F.when(F.col("range") == F.col("with"), 2).when(F.col("range") < F.col("with"), 0).otherwise(1).alias("side"))
 
     def solve(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        t = {c: t[c].to_numpy().astype(np.int64) for c in t.column_names}
-        group = np.concatenate([[0], np.cumsum((t["token"][1:] != t["token"][:-1]) | (t["pair"][1:] != t["pair"][:-1]))])
+        marks = np.asarray(t["small"].combine_chunks().flatten()).view(np.uint64).reshape(len(t), SKETCH // 64)
+        token, key, place, own, texts, pair, side = (t[c].to_numpy().astype(np.int64) for c in ("token", "key", "place", "root", "texts", "pair", "side"))
+        group = np.concatenate([[0], np.cumsum((token[1:] != token[:-1]) | (pair[1:] != pair[:-1]))])
         # Larger sets of the same group, as far as their size allows.
-        size = t["place"] >> 32
+        size, at_place = place >> 32, place & 0xFFFFFFFF
         most = np.minimum(np.floor(size / similarity + 1e-6).astype(np.int64), (1 << 31) - 1)
         n = np.searchsorted((group << 31) + size, (group << 31) + most, side="right") - np.arange(len(group)) - 1
         ends = np.cumsum(n)
         at = 0
         while at < len(n):
-            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + FRONT // 8, side="right")))
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + FRONT // 4, side="right")))
             some = n[at:to]
             i = np.repeat(np.arange(at, to), some)
             j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(some) - some, some)
-            near = _meet(t, i, j, similarity) & ((t["side"][i] == 2) | (t["side"][i] != t["side"][j]))
-            a, b = t["key"][i[near]], t["key"][j[near]]
-            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
             at = to
+            good = (own[i] != own[j]) & ((side[i] == 2) | (side[i] != side[j]))
+            i, j = i[good], j[good]
+            good = _enough(size[i], at_place[i], size[j], at_place[j], similarity)
+            i, j = i[good], j[good]
+            good = np.bitwise_count(marks[i] ^ marks[j]).sum(axis=1) <= (1 - similarity) / (1 + similarity) * (size[i] + size[j]) + 1e-6
+            i, j = i[good], j[good]
+            a, b = np.minimum(key[i], key[j]), np.maximum(key[i], key[j])
+            draw = _draw(a, b) * texts[i]
+            drawn = draw >= tried
+            if np.isfinite(tries):
+                drawn &= draw < tries
+            pairs = np.unique(np.stack([a[drawn], b[drawn]], 1), axis=0)
+            if len(pairs):
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -637,7 +697,7 @@ def prefix_pairs(shared: DataFrame, root: DataFrame, similarity: float) -> DataF
             held = t.slice(cut).to_batches()[0] if cut < len(t) else None
 
     rows = parts.repartition("token", "pair").sortWithinPartitions("token", "pair", "place")
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    return materialize(rows.mapInArrow(run, "a long, b long").distinct())
 
 
 def similar_texts(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -648,34 +708,48 @@ def similar_texts(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     Word fingerprints find most links, and quickly.  All others come from the
     prefixes: sets of that similarity share one of the first shingles, in an
     order that all texts follow, whatever the edit.  Only pairs of different
-    components are compared: neighbours first, which joins most of what a large
-    family has left, then the rest by turns, each leaving out what the turns
-    before have joined, until no pair is untried."""
-    linked = verified(texts, word_links(texts), similarity)
-    shared = shared_prefixes(texts, similarity)
+    components are compared, in three turns: of a shingle that many texts share
+    each text tries about as many others as TURNS says, then all that the turns
+    before have not joined with it."""
+    marks = marked(texts)
+    linked = verified(texts, marks, word_links(marks), similarity)
+    collect_garbage(texts.sparkSession)
     root = components(linked)
-    close = materialize(neighbours(shared, root, similarity).distinct())
-    if close.limit(1).count():
-        linked = materialize(linked.unionByName(verified(texts, close, similarity)))
+    pairs, shared = shared_prefixes(texts, root, similarity)
+    bounds = [0.0, *map(float, TURNS), float("inf")]
+    for tried, tries in zip(bounds, bounds[1:]):
+        more = common_pairs(shared, marks, root, similarity, tried, tries)
+        if more is not None:
+            pairs = pairs.unionByName(more) if tried == 0 else more
+        elif tried:
+            break
+        linked = materialize(linked.unionByName(verified(texts, marks, pairs, similarity)))
         root = components(linked)
-    rest = materialize(prefix_pairs(shared, root, similarity))
-    turn = TURN
-    while n := rest.count():
-        if n <= AT_ONCE:
-            return linked.unionByName(verified(texts, rest, similarity))
-        rest = _rooted(rest, root, "b", "rb")
-        # A text tries a few members of each other component in a turn.
-        order = Window.partitionBy("a", "rb").orderBy(F.xxhash64("a", "b"), "b")
-        ranked = materialize(rest.withColumn("rank", F.row_number().over(order)))
-        tried = ranked.where(F.col("rank") <= turn).select("a", "b")
-        linked = materialize(linked.unionByName(verified(texts, tried, similarity)))
-        root = components(linked)
-        rest = _rooted(_rooted(ranked.where(F.col("rank") > turn).select("a", "b"), root, "a", "ra"), root, "b", "rb")
-        rest = materialize(rest.where("ra <> rb").select("a", "b"))
-        turn *= 4
+    drop(marks, shared)
     return linked
 
 
+def distinct_texts(docs: DataFrame, number=F.xxhash64) -> DataFrame:
+    """(_key, _row): a 64-bit name of each distinct text, and the row of the
+    least doc_id that has it.
+
+    Copies meet in a partial aggregate, by ``number`` of the text; where texts
+    of another SHA-256 have the same number, each of them but one is named
+    anew, so different texts never pass for copies."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    ident = F.col("doc_id").cast("long")
+    given = docs.select(number(text).alias("_key"), F.sha2(text, 256).alias("_sha"), F.struct(*docs.columns).alias("_row"), ident.isNull().alias("_none"), ident.alias("_id"))
+    row = F.min_by("_row", F.struct("_sha", "_none", "_id")).alias("_row")
+    texts = bucketed(given.groupBy("_key").agg(row, F.min("_sha").alias("_least"), F.max("_sha").alias("_most")), "_key")
+    clashes = texts.where("_least <> _most").select(F.col("_key").alias("_clash"), "_least")
+    texts = texts.select("_key", "_row")
+    if not clashes.limit(1).count():
+        return texts
+    more = given.join(clashes, (F.col("_key") == F.col("_clash")) & (F.col("_sha") != F.col("_least")))
+    more = more.groupBy(F.xxhash64("_sha", "_key").alias("_key")).agg(row)
+    return materialize(texts.unionByName(more))
+
+
 def unique_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one document, of the least doc_id, of each group of exact
     and near copies; columns and other rows as they are.
@@ -683,11 +757,7 @@ def unique_documents(docs: DataFrame, similarity: float = SIMILARITY) -> DataFra
     The texts are shuffled once.  That shuffle is a partial aggregate, which
     leaves one row for each distinct text, so copies don't meet in one task;
     the later steps look texts up in the bucketed table that it fills."""
-    names = docs.columns
-    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    ident = F.col("doc_id").cast("long")
-    row = F.min_by(F.struct(*names), F.struct(ident.isNull(), ident))
-    texts = bucketed(docs.groupBy(key.alias("_key")).agg(row.alias("_row")), "_key")
+    texts = distinct_texts(docs)
     plain = texts.select(F.col("_key").alias("key"), F.col("_row.text").alias("text"))
     root = components(similar_texts(plain, similarity))
     own = F.col("_row.doc_id").cast("long")

@@ -5,6 +5,8 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from quillstone.llm import queries, simhash
 
 
@@ -203,8 +205,8 @@ def test_families(spark):
 def test_turns(spark, monkeypatch):
     """Groups in parts, pairs in several turns."""
     monkeypatch.setattr(simhash, "PART", 5)
-    monkeypatch.setattr(simhash, "AT_ONCE", 3)
-    monkeypatch.setattr(simhash, "TURN", 1)
+    monkeypatch.setattr(simhash, "FEW", 2)
+    monkeypatch.setattr(simhash, "TURNS", (2, 4))
     monkeypatch.setattr(simhash, "WORD_RADIUS", 1)
     rng = random.Random(6)
     line, texts = made_words(rng, 12), []
@@ -213,3 +215,11 @@ def test_turns(spark, monkeypatch):
         texts += [" ".join([*line, *w[: rng.randrange(30, 61)]]) for _ in range(12)]
     got, want = kept_and_wanted(spark, texts)
     assert got == want
+
+
+def test_texts_of_one_number_stay_apart(spark):
+    rows = [(k, f"text {k % 40}") for k in range(100)] + [(None, "text 3"), (200, None), (201, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = simhash.distinct_texts(df, lambda text: F.pmod(F.xxhash64(text), F.lit(7))).collect()
+    assert len({r._key for r in got}) == len(got) == 41
+    assert sorted(r._row.doc_id for r in got) == [*range(40), 200]
