@@ -360,8 +360,9 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     prints = materialize(fingerprints(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), shingle=shingle))
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     root = components(links(least, radius))
-    rooted = least.join(root, least.fp == root.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
-    best = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Tables of their own, so that Spark can split the root of a large component.
+    rooted = materialize(least.join(root, least.fp == root.node, "left").select("fp", F.coalesce("root", "fp").alias("root"), "least"))
+    best = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
     classes = materialize(rooted.join(best, "root").select("fp", "component_id"))
     return prints.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
