@@ -7,6 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+# Fixed value: what looks like a date of this century in a URL or a text.
 _DATE_LIKE = r"(20\d{2})[-_/]?(0[1-9]|1[0-2])[-_/]?(0[1-9]|[12]\d|3[01])"
 
 
@@ -44,39 +45,59 @@ def partial_date(text: Column) -> Column:
     return F.when(text.rlike(p), _ymd(F.regexp_extract(text, p, 1), part(2), part(3)))
 
 
+#: Every abbreviation of a month of 3 letters or more, and its number.
+_SHORT = {m[:n]: k for k, m in enumerate(MONTHS, 1) for n in range(3, len(m) + 1)} | {"sept": 9}
+
+
 def month_number(name: Column) -> Column:
     """From a month's English name or an abbreviation of 3 letters or more."""
-    short = F.lower(F.regexp_replace(name, r"\.$", ""))
-    out = F.lit(None).cast("int")
-    for k, m in enumerate(MONTHS, 1):
-        out = F.when((F.length(short) >= 3) & F.startswith(F.lit(m), short), k).otherwise(out)
-    return F.when((short == "sept"), 9).otherwise(out)
+    known = F.create_map(*[F.lit(x) for pair in _SHORT.items() for x in pair])
+    return F.try_element_at(known, F.lower(F.regexp_replace(name, r"\.$", "")))
 
 
 def month_text_date(text: Column) -> Column:
     """struct(date, precision) of: Nov. 13, 2025; 30 May 2025; December 2025;
-    DD.MM.YYYY; MM-DD-YYYY."""
+    DD.MM.YYYY; MM-DD-YYYY.  The first of these shapes that gives a date counts."""
+    number = lambda c: month_number(c).cast("string")
     shapes = [
-        (r"(?i)\b([a-z]{3,9}\.?)\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})\b", lambda g: _ymd(g(3), month_number(g(1)).cast("string"), g(2)), "day"),
-        (r"(?i)\b(\d{1,2})(?:st|nd|rd|th)?\s+([a-z]{3,9}\.?)\s+(\d{4})\b", lambda g: _ymd(g(3), month_number(g(2)).cast("string"), g(1)), "day"),
+        (r"(?i)\b([a-z]{3,9}\.?)\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})\b", lambda g: _ymd(g(3), number(g(1)), g(2)), "day"),
+        (r"(?i)\b(\d{1,2})(?:st|nd|rd|th)?\s+([a-z]{3,9}\.?)\s+(\d{4})\b", lambda g: _ymd(g(3), number(g(2)), g(1)), "day"),
         (r"\b(\d{1,2})\.(\d{1,2})\.(\d{4})\b", lambda g: _ymd(g(3), g(2), g(1)), "day"),
         (r"\b(\d{2})-(\d{2})-(\d{4})\b", lambda g: _ymd(g(3), g(1), g(2)), "day"),
-        (r"(?i)\b([a-z]{3,9}\.?)\s+(\d{4})\b", lambda g: _ymd(g(2), month_number(g(1)).cast("string"), F.lit("1")), "month"),
+        (r"(?i)\b([a-z]{3,9}\.?)\s+(\d{4})\b", lambda g: _ymd(g(2), number(g(1)), F.lit("1")), "month"),
     ]
-    found = []
-    for pattern, make, precision in shapes:
-        d = F.when(text.rlike(pattern), make(lambda k, p=pattern: F.regexp_extract(text, p, k)))
-        found.append(F.when(d.isNotNull(), F.struct(d.alias("date"), F.lit(precision).alias("precision"))))
-    return F.coalesce(*found)
-
-
-def url_date(url: Column, as_of: Column) -> Column:
-    """YYYY-MM-DD, YYYYMMDD, YYMMDD or DDMMYYYY in a file name; of two readings
-    the one from 1997 to the year of ``as_of`` counts, year first."""
-    ok = lambda d: F.when(F.year(d).between(F.lit(1997), F.year(as_of)), d)
-    eight, six = F.nullif(F.regexp_extract(url, r"(?<!\d)(\d{8})(?!\d)", 1), F.lit("")), F.nullif(F.regexp_extract(url, r"(?<!\d)(\d{6})(?!\d)", 1), F.lit(""))
-    dashed = F.nullif(F.regexp_extract(url, r"(?<!\d)(\d{4}-\d{2}-\d{2})(?!\d)", 1), F.lit(""))
-    return F.coalesce(ok(F.try_to_date(dashed, "yyyy-MM-dd")), ok(F.try_to_date(eight, "yyyyMMdd")), ok(F.try_to_date(eight, "ddMMyyyy")), ok(slug_date(six)))
+    # A lambda's variable holds what was computed once; a repeated expression
+    # inside conditions would be computed again for each use.
+    def found(pattern: str, make, precision: str) -> Column:
+        d = F.filter(F.array(make(lambda k: F.regexp_extract(text, pattern, k))), lambda x: x.isNotNull())
+        return F.get(F.transform(d, lambda x: F.struct(x.alias("date"), F.lit(precision).alias("precision"))), 0)
+
+    return F.coalesce(*[found(*shape) for shape in shapes])
+
+
+URL_DATE_FORMATS = ("auto", "yyyymmdd", "yymmdd", "yyyymm", "yyyy", "ddmmyyyy")
+
+
+def url_date(url: Column, as_of: Column, fmt: str = "auto") -> Column:
+    """The date in a URL's file name.  ``fmt`` says how a section writes it;
+    'auto': eight digits that are a date; else six, a year from 1997 to that of
+    ``as_of`` and a month, or YYMMDD of this century; without six a year."""
+    if fmt not in URL_DATE_FORMATS:
+        raise ValueError(f"no such format of dates: {fmt}")
+    name = F.element_at(F.split(F.coalesce(url, F.lit("")), "/"), -1)
+    digits = lambda p: F.nullif(F.regexp_extract(name, p, 0), F.lit(""))
+    eight, six, four = digits(r"\d{8}"), digits(r"\d{6}(?!\d)"), digits(r"(?:19|20)\d{2}")
+    of = {
+        "yyyymmdd": F.try_to_date(eight, "yyyyMMdd"),
+        "ddmmyyyy": F.try_to_date(eight, "ddMMyyyy"),
+        "yymmdd": F.try_to_date(F.concat(F.lit("20"), six), "yyyyMMdd"),
+        "yyyymm": F.try_to_date(F.concat(six, F.lit("01")), "yyyyMMdd"),
+        "yyyy": F.try_to_date(F.concat(four, F.lit("0101")), "yyyyMMdd"),
+    }
+    if fmt != "auto":
+        return of[fmt]
+    month = F.when(F.substring(six, 1, 4).cast("int").between(F.lit(1997), F.year(as_of)), of["yyyymm"])
+    return F.coalesce(of["yyyymmdd"], F.when(six.isNotNull(), F.coalesce(month, of["yymmdd"])).otherwise(of["yyyy"]))
 
 
 def berlin_day(epoch: Column) -> Column:

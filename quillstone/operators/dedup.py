@@ -6,13 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-
-
 def first_by(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """The first row of each key.  A partial aggregate, so a key with many rows
     costs one row for each task; ties are broken by the whole row."""
     cols = [c for c in rows.columns if c not in key]
-    pick = F.min_by(F.struct(*cols), F.struct(*order)) if order else F.min(F.struct(*cols))
+    pick = F.min_by(F.struct(*cols), F.struct(F.struct(*order), F.struct(*cols))) if order else F.min(F.struct(*cols))
     return rows.groupBy(*key).agg(pick.alias("_r")).select(*key, "_r.*").select(*rows.columns)
 
 
@@ -50,9 +48,7 @@ def reindex_decisions(rows: DataFrame, ledger: DataFrame, dry_run: bool = False)
 
 def content_dedup(rows: DataFrame, text: str, ident: str) -> DataFrame:
     """One row for each content, of the least id."""
-    keyed = rows.withColumn("_sha", F.sha2(F.col(text), 256))
-    least = keyed.groupBy("_sha").agg(F.min(ident).alias(ident))
-    return keyed.join(least, ["_sha", ident], "left_semi").drop("_sha")
+    return first_by(rows.withColumn("_sha", F.sha2(F.col(text), 256)), ["_sha"], [ident]).drop("_sha")
 
 
 def duplicate_groups(rows: DataFrame, text: str, ident: str) -> DataFrame:

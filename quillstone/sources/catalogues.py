@@ -12,7 +12,7 @@ from quillstone.functions import dates, urls
 
 def sitemap_entries(pages: DataFrame, url: str = "url", body: str = "body") -> DataFrame:
     """page_url, kind ('url' or 'sitemap'), pos, loc, lastmod of XML sitemaps."""
-    xml = F.col(body) if dict(pages.dtypes)[body] == "string" else F.decode(F.col(body), "UTF-8")
+    xml = F.col(body) if dict(pages.dtypes)[body] == "string" else urls.page_text(F.col(body))
     block = F.regexp_extract_all(xml, F.lit(r"(?s)<(?:url|sitemap)>.*?</(?:url|sitemap)>"), F.lit(0))
     cell = lambda tag: F.nullif(F.trim(F.regexp_extract("block", rf"(?s)<{tag}>\s*(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?\s*</{tag}>", 1)), F.lit(""))
     rows = pages.select(F.col(url).alias("page_url"), F.posexplode(block).alias("pos", "block"))
@@ -74,7 +74,7 @@ def archive_captures(responses: DataFrame, body: str = "body") -> DataFrame:
     whose first row is the header; an index for one URL has no original."""
     rows = F.from_json(F.col(body), "array<array<string>>")
     head = F.get(rows, 0)
-    r = responses.select(*[c for c in responses.columns if c != body], head.alias("head"), F.explode(F.slice(rows, 2, 1_000_000)).alias("row"))
+    r = responses.select(*[c for c in responses.columns if c != body], head.alias("head"), F.explode(F.slice(rows, F.lit(2), F.greatest(F.size(rows), F.lit(0)))).alias("row"))
     cell = lambda name: F.get("row", F.array_position("head", F.lit(name)).cast("int") - 1)
     original = F.when(F.array_contains("head", "original"), cell("original"))
     out = r.select(*[c for c in responses.columns if c != body], original.alias("original"), cell("timestamp").alias("stamp"))

@@ -4,6 +4,7 @@ delay between two requests to it."""
 
 from __future__ import annotations
 
+import http.client
 import time
 import urllib.request
 from collections.abc import Iterator
@@ -30,7 +31,7 @@ def fetch_one(url: str, delay: float = DELAY_S, attempts: int = ATTEMPTS) -> tup
                     if time.monotonic() - began > DEADLINE_S:
                         raise TimeoutError("body deadline")
                 return r.status, r.headers.get_content_type(), body, ""
-        except (OSError, ValueError) as e:
+        except (OSError, ValueError, http.client.HTTPException) as e:
             error = f"{type(e).__name__}: {e}".replace("\n", " ")[:500]
             if attempt + 1 < attempts:
                 time.sleep(delay * 2**attempt)

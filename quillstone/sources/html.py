@@ -9,7 +9,6 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
-from urllib.parse import urljoin
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -101,9 +100,9 @@ LAYOUTS = (
     Layout("fomc_minutes", r"(?:fomcminutes(\d{8})\.pdf|/fomc/minutes/(\d{8})\.htm|/fomc/minutes/\d{4}/(\d{8})min\.htm)$", "url8"),
     Layout("fomc_projections", r"(?:fomcprojtabl|FOMC)(\d{8})(?:SEPcompilation)?\.pdf$", "url8"),
     Layout("fomc_statements", r"(?:monetary(?:/)?(\d{8})a\.htm$|boarddocs/press/(?:monetary|general)/\d{4}/(\d{8}))", "url8", "default.htm"),
-    Layout("ecb_accounts", r"(?:ecb\.)?mg(\d{6})[~a-z0-9]*\.en\.html$", "url6"),
-    Layout("ecb_decisions", r"/(?:ecb\.)?(?:mp|pr)(\d{6})[~a-z0-9_]*\.en\.html$", "url6"),
-    Layout("ecb_statements", r"/(?:ecb\.)?is(\d{6})[~a-z0-9_]*\.en\.html$", "url6"),
+    Layout("ecb_accounts", r"/press/accounts/\d{4}/html/(?:ecb\.)?mg(\d{6})[~a-z0-9]*\.en\.html$", "url6"),
+    Layout("ecb_decisions", r"/press/pr/date/\d{4}/html/(?:ecb\.)?(?:mp|pr)(\d{6})[~a-z0-9]*\.en\.html$", "url6"),
+    Layout("ecb_statements", r"/(?:ecb\.)?is(\d{6})[~a-z0-9]*\.en\.html$", "url6"),
     Layout("ecb_bulletin", r"/pub/pdf/ecbu/eb(\d{4})\d{2}\.en\.pdf$", "year"),
     Layout("rba_decisions", r"/media-releases/\d{4}/mr-\d{2}-\d+\.html$", "text"),
     Layout("rba_minutes", r"/rba-board-minutes/\d{4}/(?:(\d{4}-\d{2}-\d{2})|(\d{8}))", "url8"),
@@ -115,7 +114,7 @@ LAYOUT = {x.name: x for x in LAYOUTS}
 
 
 def _body(pages: DataFrame, body: str) -> Column:
-    return F.col(body) if dict(pages.dtypes)[body] == "string" else F.decode(F.col(body), "UTF-8")
+    return F.col(body) if dict(pages.dtypes)[body] == "string" else urls.page_text(F.col(body))
 
 
 def _parse(pages: DataFrame, url: str, body: str, rows_of, schema: str, kinds: list) -> DataFrame:
@@ -132,8 +131,9 @@ def _parse(pages: DataFrame, url: str, body: str, rows_of, schema: str, kinds: l
 
 
 def page_links(pages: DataFrame, url: str = "url", body: str = "html") -> DataFrame:
-    """page_url, pos, href, link_url (absolute), text; links in page order."""
-    of = lambda u, h: [(k, href, urljoin(u, href), text) for k, (href, text) in enumerate(Page(h).links)]
+    """page_url, pos, href, link_url (absolute; null where the link is no URL),
+    text; links in page order."""
+    of = lambda u, h: [(k, href, urls.absolute(u, href), text) for k, (href, text) in enumerate(Page(h).links)]
     return _parse(pages, url, body, of, "page_url string, pos int, href string, link_url string, text string", [pa.string(), pa.int32(), pa.string(), pa.string(), pa.string()])
 
 
@@ -168,7 +168,7 @@ def table_papers(pages: DataFrame, pattern: str, url: str = "url", body: str = "
         p, seen, out = Page(h), set(), []
         for k, (cells, hrefs) in enumerate(zip(p.rows, p.row_links)):
             link = next((x for x in hrefs if re.search(pattern, x, re.I)), None)
-            if link and cells and (full := urljoin(u, link)) not in seen:
+            if link and cells and (full := urls.absolute(u, link)) not in seen:
                 seen.add(full)
                 out.append((k, cells, full))
         return out
@@ -187,7 +187,7 @@ def page_count(pages: DataFrame, pattern: str = r"pageNumString=(\d+)", most: in
 
 def include_snippets(pages: DataFrame, url: str = "url", body: str = "html") -> DataFrame:
     """page_url, pos, include_url: the lazily loaded parts an index page names."""
-    of = lambda u, h: [(k, urljoin(u, s)) for k, s in enumerate(Page(h).snippets)]
+    of = lambda u, h: [(k, urls.absolute(u, s)) for k, s in enumerate(Page(h).snippets)]
     return _parse(pages, url, body, of, "page_url string, pos int, include_url string", [pa.string(), pa.int32(), pa.string()])
 
 
@@ -253,6 +253,10 @@ def raw_links(pages: DataFrame, pattern: str, url: str = "url", body: str = "htm
     return pages.select(F.col(url).alias("page_url"), F.posexplode(found).alias("pos", "match"))
 
 
+# Words that begin an event's name, in the order they are tried.
+EVENT_WORDS = ("at", "during", "to", "before", "in", "on", "hosted by", "organised by", "organized by", "sponsored by", "via", "by videoconference", "by video conference")
+
+
 def speaker_half(text: Column) -> Column:
     """The text before the first word that begins the event's name."""
-    return F.split(text, r"(?i)\s+(?:at|during|to|before|in|on|hosted by|organised by|organized by|sponsored by|via|by videoconference|by video conference)\s+", 2)[0]
+    return F.split(text, rf"(?i)\s+(?:{'|'.join(EVENT_WORDS)})\s+", 2)[0]

@@ -12,15 +12,29 @@ from pyspark.sql import functions as F
 from quillstone import schema
 
 
+_BROKEN = "_broken_line"
+
+
 class TornMiddle(ValueError):
     """A broken line that is not the last of its file."""
 
 
 def read_ledger(spark: SparkSession, path: str, banks: list[str] | None = None) -> DataFrame:
     """Rows of ``path``: one file <bank>.jsonl for each publisher, or folders
-    bank_code=<bank>; broken lines are null rows in no column and go.  With
+    bank_code=<bank>.  A last line that a crash has torn is left out; any other
+    broken line raises TornMiddle, which names its file and number.  With
     ``banks`` only their files are read."""
-    rows = spark.read.schema(schema.LEDGER).option("mode", "DROPMALFORMED").json(path)
+    flat = not any("/bank_code=" in f for f in spark.read.text(path).inputFiles())
+    reader = spark.read.schema(f"{schema.LEDGER}, {_BROKEN} string").option("columnNameOfCorruptRecord", _BROKEN)
+    if banks and flat:
+        reader = reader.option("pathGlobFilter", "{" + ",".join(banks) + "}.json*")
+    rows = reader.json(path)
+    rows = rows.where(F.col("bank_code").isin(banks)) if banks and not flat else rows
+    broken = rows.select("*", F.col("_metadata.file_path").alias("_file")).where(F.col(_BROKEN).isNotNull())
+    # Spark reads no broken line without another column beside it.
+    for r in broken.groupBy("_file").agg(F.max("doc_id")).toLocalIterator():
+        require_whole(spark, r["_file"])
+    rows = rows.where(F.col(_BROKEN).isNull()).drop(_BROKEN)
     return rows.where(F.col("bank_code").isin(banks)) if banks else rows
 
 

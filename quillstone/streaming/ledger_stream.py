@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone import schema
+from quillstone.functions import urls
 from quillstone.operators import dedup
 from quillstone.sources import html
 
@@ -18,7 +19,7 @@ def snapshots(spark: SparkSession, folder: str, files_per_trigger: int = 100) ->
 def candidates(pages: DataFrame, layout: html.Layout) -> DataFrame:
     """link_url, date, title of new pages, each URL once over the stream's life;
     the state grows with the corpus' identities only."""
-    ok = pages.where("status = 200").select("url", F.decode("body", "UTF-8").alias("html"))
+    ok = pages.where("status = 200").select("url", urls.page_text(F.col("body")).alias("html"))
     links = html.page_links(ok).where(F.col("href").rlike(f"(?i){layout.pattern}"))
     return links.select("link_url", "text").dropDuplicates(["link_url"])
 

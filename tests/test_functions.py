@@ -72,7 +72,22 @@ D = datetime.date
     (lambda: dates.month_ok(lit(D(2002, 2, 3)), lit(D(2002, 1, 1))), False),
     (lambda: dates.month_ok(F.lit(None).cast("date"), lit(D(2002, 1, 1))), False),
     (lambda: dates.year_in_path(lit("https://x/a/2003/b/1999/c")), D(2003, 1, 1)),
-    (lambda: dates.url_date(lit("https://x/sp01022003.pdf"), lit(D(2024, 1, 1))), D(2003, 2, 1)),
+    (lambda: dates.url_date(lit("https://x/sp01022003.pdf"), lit(D(2024, 1, 1)), "ddmmyyyy"), D(2003, 2, 1)),
+    (lambda: dates.url_date(lit("https://x/sp01022003.pdf"), lit(D(2024, 1, 1))), None),
+    (lambda: dates.url_date(lit("https://x/y/fsr200612.en.pdf"), lit(D(2024, 1, 1))), D(2006, 12, 1)),
+    (lambda: dates.url_date(lit("https://x/y/in200612.en.html"), lit(D(2024, 1, 1)), "yymmdd"), D(2020, 6, 12)),
+    (lambda: dates.url_date(lit("https://x/y/in210331~ab.en.html"), lit(D(2024, 1, 1))), D(2021, 3, 31)),
+    (lambda: dates.url_date(lit("https://x/2005/ar2019en.pdf"), lit(D(2024, 1, 1))), D(2019, 1, 1)),
+    (lambda: dates.url_date(lit("https://x/y/ecb.sp20240229.pdf"), lit(D(2024, 1, 1))), D(2024, 2, 29)),
+    (lambda: dates.url_date(lit("https://x/20240229/none.pdf"), lit(D(2024, 1, 1))), None),
+    (lambda: urls.normalize_url(lit("\t\u00a0https://A//b~1f.pdf\n ")), "a/b.pdf"),
+    (lambda: urls.boe_slug(lit("https://b/working-paper/2020/")), None),
+    (lambda: urls.boe_slug(lit("https://b/working-paper/about-us")), None),
+    (lambda: urls.boe_slug(lit("https://b/-/media/boe/files/working-paper/2020/Some-Paper.pdf")), "some-paper"),
+    (lambda: urls.boe_slug(lit("https://b/working-paper/2020/some-paper")), "some-paper"),
+    (lambda: urls.join_url(lit("https://b/a"), lit("http://[x")), None),
+    (lambda: urls.page_text(lit(bytearray("Größe".encode("latin-1")))), "Größe"),
+    (lambda: urls.page_text(lit(bytearray("Größe".encode()))), "Größe"),
     (lambda: dates.pdf_creation_date(lit(bytearray(b"%PDF /CreationDate (D:20200131120000)"))), D(2020, 1, 31)),
 ])
 def test_value(spark, make, want):
