@@ -47,9 +47,9 @@ def _(t):
     return t("pages").select("page_id", urls.doc_id(urls.host(F.col("url")), F.lit("C1"), F.col("url")).alias("doc_id"))
 
 
-@query("q02_normalize_url", r"select page_id, regexp_replace(regexp_replace(regexp_replace(lower(trim(url)), '^https?://', ''), '~[0-9a-z]+', '', 'g'), '/{2,}', '/', 'g') as url_norm from pages")
+@query("q02_normalize_url", r"select page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(chr(9) || ' ' || url || ' ' || chr(10)), '^\s+|\s+$', '', 'g'), '^https?://', ''), '~[0-9a-z]+', '', 'g'), '/{2,}', '/', 'g') as url_norm from pages")
 def _(t):
-    return t("pages").select("page_id", urls.normalize_url(F.col("url")).alias("url_norm"))
+    return t("pages").select("page_id", urls.normalize_url(F.concat(F.lit("\t "), F.col("url"), F.lit(" \n"))).alias("url_norm"))
 
 
 @query("q03_normalize_title", r"select page_id, trim(regexp_replace(lower(strip_accents(regexp_extract(html, '<title>([^<]*)</title>', 1))), '[^a-z0-9]+', ' ', 'g')) as title_norm from pages")
@@ -73,9 +73,9 @@ def _(t):
     return dedup.duplicate_groups(t("documents"), "text", "doc_id")
 
 
-@query("q07_known_url_anti", "select c_custkey, c_name from customer c where not exists (select 1 from orders o where o.o_custkey = c.c_custkey)")
+@query("q07_known_url_anti", "select c_custkey, c_name from customer c where not exists (select 1 from orders o where o.o_custkey = c.c_custkey and o.o_orderstatus = 'P')")
 def _(t):
-    return dedup.unknown(t("customer"), t("orders"), "c_custkey", "o_custkey").select("c_custkey", "c_name")
+    return dedup.unknown(t("customer"), t("orders").where("o_orderstatus = 'P'"), "c_custkey", "o_custkey").select("c_custkey", "c_name")
 
 
 @query("q08_known_source_anti", "select doc_id, source from documents d where not exists (select 1 from labels l where l.doc_id = d.doc_id)")
@@ -105,7 +105,7 @@ def _(t):
     return t("documents").groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n"))
 
 
-_EXPECTED = "(values ('1-URGENT', 430), ('2-HIGH', 10), ('3-MEDIUM', null), ('5-LOW', 0))"
+_EXPECTED = "(values ('1-URGENT', 430), ('2-HIGH', 8), ('3-MEDIUM', null), ('5-LOW', 0))"
 _MATRIX = f"""with grid as (select p.o_orderpriority as bank_code, y.year from (select distinct o_orderpriority from orders) p, (select unnest(range(1994, 2003))::int as year) y),
 got as (select o_orderpriority, year(o_orderdate)::int as year, count(*)::int as n from orders group by all),
 m as (select g.bank_code, g.year, e.expected::int as expected, coalesce(n, 0)::int as downloaded from grid g left join got on got.o_orderpriority = g.bank_code and got.year = g.year
@@ -117,14 +117,14 @@ s as (select *, case when expected is null then case when downloaded > 0 then 'o
 def _matrix(t) -> DataFrame:
     orders = t("orders").select(F.col("o_orderpriority").alias("bank_code"), F.lit("D1").alias("doc_type"), F.year("o_orderdate").alias("year"))
     spark = orders.sparkSession
-    expected = spark.createDataFrame([("1-URGENT", "D1", 430), ("2-HIGH", "D1", 10), ("3-MEDIUM", "D1", None), ("5-LOW", "D1", 0)], "bank_code string, doc_type string, expected int")
+    expected = spark.createDataFrame([("1-URGENT", "D1", 430), ("2-HIGH", "D1", 8), ("3-MEDIUM", "D1", None), ("5-LOW", "D1", 0)], "bank_code string, doc_type string, expected int")
     kinds = orders.select("bank_code", "doc_type").distinct()
     return coverage.completeness(orders, coverage.grid(spark, kinds, kinds, list(range(1994, 2003))), expected)
 
 
-@query("q13_completeness_matrix", f"{_MATRIX} select bank_code, year, expected, downloaded, status from s")
+@query("q13_completeness_matrix", f"{_MATRIX} select bank_code, year, expected, downloaded, case when expected > 0 then round_even(downloaded / expected, 2) end as ratio, status from s")
 def _(t):
-    return _matrix(t).select("bank_code", "year", "expected", "downloaded", "status")
+    return _matrix(t).select("bank_code", "year", "expected", "downloaded", "ratio", "status")
 
 
 @query("q14_status_summary", f"{_MATRIX} select status, count(*) as n from s group by status")
@@ -282,10 +282,10 @@ def _(t):
     return out.select("o_orderkey", "text", day(found["date"]).alias("day"), found["precision"].alias("precision"))
 
 
-@query("q33_flat_records", "select vec_id, unnest(range(0, len(embedding) // 8))::int as pos, 8 as width from embeddings")
+@query("q33_flat_records", "select vec_id, pos::int as pos, 8 as width, embedding[pos * 8 + 1]::double as first, embedding[pos * 8 + 8]::double as last from (select *, unnest(range(0, len(embedding) // 8)) as pos from embeddings)")
 def _(t):
     records = catalogues.flat_records(F.col("embedding"), F.lit(8))
-    return t("embeddings").select("vec_id", F.posexplode(records).alias("pos", "record")).select("vec_id", "pos", F.size("record").alias("width"))
+    return t("embeddings").select("vec_id", F.posexplode(records).alias("pos", "record")).select("vec_id", "pos", F.size("record").alias("width"), F.get("record", 0).cast("double").alias("first"), F.get("record", 7).cast("double").alias("last"))
 
 
 _LINES = "select l_orderkey, l_linenumber, l_returnflag, l_linestatus, l_shipdate, o_orderdate, (date_trunc('month', l_shipdate) = date_trunc('month', o_orderdate) and day(l_shipdate) <> 1)::int as ok from lineitem join orders on o_orderkey = l_orderkey"
@@ -316,13 +316,16 @@ def _(t):
     return t("events").select("event_id", day(dates.berlin_day(F.unix_timestamp("ts"))).alias("day"))
 
 
-@query("q37_update_rails", """select o_orderkey as doc_id, strftime(coalesce(s, o_orderdate), '%Y-%m-%d') as day, year(coalesce(s, o_orderdate))::int as year, case when s is null then 'repec' else 'bank_site' end as date_source
+@query("q37_update_rails", """select o_orderkey as doc_id, strftime(coalesce(s, o_orderdate), '%Y-%m-%d') as day, year(coalesce(s, o_orderdate))::int as year, case when s is null then 'repec' else 'bank_site' end as date_source,
+case when s is null then 'month' else 'day' end as date_precision, case when s is not null and o_orderkey % 3 = 0 then 'h' || o_orderkey else 'old' end as handle,
+case when s is not null and o_orderkey % 2 = 0 then 'u1,u2' else 'u1' end as alts
 from orders left join (select l_orderkey, min(l_shipdate) as s from lineitem where l_returnflag = 'R' group by 1) on l_orderkey = o_orderkey""")
 def _(t):
-    ledger = t("orders").select(F.col("o_orderkey").alias("doc_id"), F.to_date("o_orderdate").alias("date"), F.lit("month").alias("date_precision"), F.lit("repec").alias("date_source"), F.lit("").alias("repec_handle"), F.lit(None).cast("array<string>").alias("alt_urls"), F.year("o_orderdate").alias("year"))
+    ledger = t("orders").select(F.col("o_orderkey").alias("doc_id"), F.to_date("o_orderdate").alias("date"), F.lit("month").alias("date_precision"), F.lit("repec").alias("date_source"), F.lit("old").alias("repec_handle"), F.array(F.lit("u1")).alias("alt_urls"), F.year("o_orderdate").alias("year"))
     changes = t("lineitem").where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("doc_id")).agg(F.to_date(F.min("l_shipdate")).alias("new_date"))
-    changes = changes.withColumns({"date_precision": F.lit(None).cast("string"), "repec_handle": F.lit(""), "alt_url": F.lit(None).cast("string")})
-    return matching.apply_changes(ledger, changes).select("doc_id", day("date").alias("day"), "year", "date_source")
+    changes = changes.withColumns({"date_precision": F.lit(None).cast("string"), "repec_handle": F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("h"), F.col("doc_id").cast("string"))).otherwise(""), "alt_url": F.when(F.col("doc_id") % 2 == 0, "u2").when(F.col("doc_id") % 5 == 0, "u1")})
+    out = matching.apply_changes(ledger, changes)
+    return out.select("doc_id", day("date").alias("day"), "year", "date_source", "date_precision", F.col("repec_handle").alias("handle"), F.array_join("alt_urls", ",").alias("alts"))
 
 
 def _proposals(t) -> tuple[DataFrame, DataFrame]:
@@ -362,9 +365,12 @@ def _(t):
 @query("q42_recovery_class", """with f as (select event_id, 's' || user_id as src, 'k' || json_extract_string(props, '$.k') as alt from events where event_type = 'error'),
 s as (select distinct 's' || user_id as src from events where event_type = 'signup' and value > 30),
 u as (select distinct 'k' || json_extract_string(props, '$.k') as alt from events where event_type = 'purchase' and value > 40),
+n as (select event_id, 'k' || event_id % 60 as alt from events where event_type = 'error' and event_id % 3 = 0),
 c as (select 'k' || json_extract_string(props, '$.k') as alt, max(strftime(ts, '%Y%m%d%H%M%S')) as stamp from events where event_type = 'view' and value > 20 group by 1)
-select event_id, case when s.src is not null or u.alt is not null then 'converged' when c.alt is null then 'unrecoverable' else 'recoverable' end as action,
-case when s.src is null and u.alt is null then c.stamp end as snapshot_ts from f left join s using (src) left join u using (alt) left join c using (alt)""")
+select event_id, case when s.src is not null or u.alt is not null then 'converged' when coalesce(d.alt, c.alt) is null then 'unrecoverable'
+ when event_id % 4 = 0 then 'recovered' when event_id % 5 = 0 then 'duplicate' else 'recoverable' end as action,
+case when s.src is null and u.alt is null then coalesce(d.stamp, c.stamp) end as snapshot_ts
+from f left join n using (event_id) left join s using (src) left join u on u.alt = f.alt left join c on c.alt = f.alt left join c d on d.alt = n.alt""")
 def _(t):
     e = t("events").withColumn("k", F.concat(F.lit("k"), F.get_json_object("props", "$.k"))).withColumn("s", F.concat(F.lit("s"), F.col("user_id").cast("string")))
     none = F.lit(None).cast("string")
@@ -372,8 +378,10 @@ def _(t):
     signed = e.where("event_type = 'signup' and value > 30").select(none.alias("pdf_url"), F.lit(None).cast("array<string>").alias("alt_urls"), F.col("s").alias("source_url"))
     bought = e.where("event_type = 'purchase' and value > 40").select(F.col("k").alias("pdf_url"), F.lit(None).cast("array<string>").alias("alt_urls"), none.alias("source_url"))
     captures = e.where("event_type = 'view' and value > 20").select(F.col("k").alias("original"), F.date_format("ts", "yyyyMMddHHmmss").alias("stamp"))
-    fresh = failures.select("pdf_url", F.lit(None).cast("array<string>").alias("candidates"))
-    return recovery.classify_failures(failures, signed.unionByName(bought), captures, fresh).select("event_id", "action", "snapshot_ts")
+    offered = F.array(F.concat(F.lit("k"), (F.col("event_id") % 60).cast("string")))
+    fresh = failures.where("event_id % 3 = 0").select("pdf_url", offered.alias("candidates"))
+    outcomes = failures.where("event_id % 4 = 0 or event_id % 5 = 0").select("pdf_url", F.when(F.col("event_id") % 4 == 0, "saved").when(F.col("event_id") % 10 == 5, "exists").otherwise("duplicate_content").alias("status"))
+    return recovery.classify_failures(failures, signed.unionByName(bought), captures, fresh, outcomes).select("event_id", "action", "snapshot_ts")
 
 
 @query("q43_chunking")
@@ -401,15 +409,19 @@ def _(t):
 
 
 @query("q47_save_decisions", """with r as (select event_id as seq, user_id as doc_id, case when event_type <> 'error' then event_type || floor(value)::int end as sha from events),
-k as (select *, min(seq) filter (sha is not null) over (partition by doc_id) as first_seq from r),
-e as (select *, case when seq > first_seq then 'exists' when sha is null then 'download_failed' end as st from k),
-c as (select *, min(seq) filter (st is null) over (partition by sha) as claim from e)
-select seq, coalesce(st, case when seq > claim then 'duplicate_content' else 'saved' end) as status from c""")
+i as (select distinct user_id as doc_id, 1 as held from events where event_type = 'signup' and value > 30),
+h as (select distinct event_type || floor(value)::int as sha, 1 as had from events where event_type = 'purchase' and value > 30),
+k as (select r.*, held, had, min(seq) filter (sha is not null) over (partition by doc_id) as first_seq from r left join i using (doc_id) left join h using (sha)),
+e as (select *, case when held = 1 or seq > first_seq then 'exists' when sha is null then 'download_failed' end as st from k),
+c as (select *, min(seq) filter (st is null and had is null) over (partition by sha) as claim from e)
+select seq, coalesce(st, case when had = 1 or seq > claim then 'duplicate_content' else 'saved' end) as status from c""")
 def _(t):
     e = t("events")
     sha = F.when(F.col("event_type") != "error", F.concat("event_type", F.floor("value").cast("string")))
     rows = e.select(F.col("event_id").alias("seq"), F.col("user_id").cast("string").alias("doc_id"), sha.alias("sha256"))
-    return dedup.save_decisions(rows, rows.limit(0)).select("seq", "status")
+    kept = e.where("value > 30 and event_type in ('signup', 'purchase')")
+    held = kept.select(F.when(F.col("event_type") == "signup", F.col("user_id").cast("string")).alias("doc_id"), F.when(F.col("event_type") == "purchase", sha).alias("sha256"))
+    return dedup.save_decisions(rows, held).select("seq", "status")
 
 
 @query("q48_page_links")

@@ -197,9 +197,11 @@ def _(t):
 
 @query("q79_recover_dates", """with c as (select user_id, min(ts) as ts from events where event_type = 'view' group by 1),
 i as (select user_id, max(ts) as ts from events where event_type = 'signup' and value > 20 group by 1),
-r as (select o_orderkey, o_custkey, o_orderpriority, i.ts as its, c.ts as cts, case when o_orderstatus = 'F' then timestamp '2024-01-01' else timestamp '2023-12-01' end as month from orders left join i on i.user_id = o_custkey left join c on c.user_id = o_custkey where o_orderpriority <> '5-LOW')
-select o_orderkey::varchar as doc_id, strftime(coalesce(its, cts), '%Y-%m-%d') as day, case when its is not null then 'repec' else 'wayback' end as date_source from r
-where its is not null or (date_trunc('month', cts) = month and day(cts) <> 1)""")
+r as (select o_orderkey, o_custkey, o_orderpriority, i.ts as its, c.ts as cts, case when o_orderstatus = 'F' then timestamp '2024-01-01' else timestamp '2023-12-01' end as month,
+  case when o_orderkey % 4 = 0 then make_date(2024, 1, (o_orderkey % 28 + 1)::int) end as pdf from orders left join i on i.user_id = o_custkey left join c on c.user_id = o_custkey where o_orderpriority <> '5-LOW'),
+w as (select *, case when date_trunc('month', pdf) = month and day(pdf) <> 1 then pdf end as p, case when date_trunc('month', cts) = month and day(cts) <> 1 then cts end as a from r)
+select o_orderkey::varchar as doc_id, strftime(coalesce(its, p, a), '%Y-%m-%d') as day, case when its is not null then 'repec' when p is not null then 'pdf_meta' else 'wayback' end as date_source from w
+where coalesce(its, p, a) is not null""")
 def _(t):
     o = t("orders").select(F.col("o_orderkey").cast("string").alias("doc_id"), F.when(F.col("o_orderpriority") == "5-LOW", "C1").otherwise("D1").alias("doc_type"), F.when(F.col("o_orderstatus") == "F", F.lit("2024-01-01")).otherwise("2023-12-01").cast("date").alias("date"), F.lit("month").alias("date_precision"), F.lit("").alias("source_url"), F.col("o_custkey").cast("string").alias("repec_handle"), F.lit("").alias("title_norm"), text_of("'v", "o_custkey").alias("pdf_url"), F.lit(None).cast("array<string>").alias("alt_urls"), F.col("o_orderkey").alias("seq"), "o_custkey")
     # A key for each row: the index is looked up by customer.
@@ -208,7 +210,8 @@ def _(t):
     index = o.join(index, F.col("o_custkey") == F.col("user_id")).select(text_of("'h", "doc_id").alias("key"), day("ts").alias("date"), F.lit("repec").alias("date_source"))
     rows = o.withColumn("repec_handle", text_of("'h", "doc_id")).drop("o_custkey")
     captures = e.where("event_type = 'view'").select(text_of("'v", "user_id").alias("original"), F.date_format("ts", "yyyyMMddHHmmss").alias("stamp"))
-    bodies = rows.select("doc_id", F.lit(None).cast("binary").alias("body")).limit(0)
+    made = F.concat(F.lit("%PDF-1.4 /CreationDate (D:202401"), F.lpad((F.col("seq") % 28 + 1).cast("string"), 2, "0"), F.lit("120000Z)"))
+    bodies = rows.where("seq % 4 = 0").select("doc_id", F.encode(made, "UTF-8").alias("body"))
     return recovery.recover_dates(rows, index, captures, bodies).select("doc_id", day("new_date").alias("day"), "date_source")
 
 
@@ -246,7 +249,7 @@ def _(t):
     return both.select("o_orderkey", day("date").alias("day"))
 
 
-@query("q85_speaker_half", "select item_id, length(regexp_extract(text, '^(.*?)\\s+(?:at|during|to|before|in|on|hosted by|organised by|organized by|sponsored by|via|by videoconference|by video conference)\\s', 1, 'si')) as n from benchmark where regexp_matches(text, '\\s(?:at|during|to|before|in|on|hosted by|organised by|organized by|sponsored by|via|by videoconference|by video conference)\\s', 'i')")
+@query("q85_speaker_half", "select item_id, regexp_extract(text, '^(.*?)\\s+(?:at|during|to|before|in|on|hosted by|organised by|organized by|sponsored by|via|by videoconference|by video conference)\\s', 1, 'si') as half from benchmark where regexp_matches(text, '\\s(?:at|during|to|before|in|on|hosted by|organised by|organized by|sponsored by|via|by videoconference|by video conference)\\s', 'i')")
 def _(t):
     half = html.speaker_half(F.col("text"))
-    return t("benchmark").select("item_id", F.length(half).cast("long").alias("n"), F.length("text").alias("all")).where("n < all").drop("all")
+    return t("benchmark").select("item_id", half.alias("half"), "text").where("half <> text").drop("text")
