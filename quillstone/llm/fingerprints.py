@@ -14,28 +14,28 @@ joined on it, misses none; the first block of agreement alone reports a pair.
 
 Defined results: null text is empty; a text without terms has the fingerprint
 of zeros; repeated rows give equal rows; rows of equal doc_id are ordered by
-text; the next of a single document is itself; an empty table gives an empty
+the text's hash; very long texts are read whole; the next of a single document
+is itself; an empty table gives an empty
 result; other columns are not used.
 """
 
 from __future__ import annotations
 
-import bisect
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import column, others, sha256
+from .common import alone, column, materialize, others, sha256
 
 BITS = 128
 LONG = 192
 RADIUS = 6
-_DOCS_A_STRETCH = 2_000
 
 
 def _share(n_words: int) -> float:
@@ -98,79 +98,73 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-def stretches(docs: DataFrame, rows: int = _DOCS_A_STRETCH) -> tuple[list[int], dict, dict]:
-    """Cuts of descending doc_id into stretches of about ``rows`` documents, at
-    most 10,000 stretches: (ascending cuts, the stretch before each, the first
-    doc_id of each).  Only these come to the driver, a row for each stretch."""
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    parts = max(1, min(10_000, ids.count() // rows))
-    cuts = ids.where("doc_id is not null").stat.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.2 / parts) if parts > 1 else []
-    cuts = sorted({int(c) for c in cuts})
+_RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_NAMES = [f.split()[0] for f in _RESULT.split(", ")]
+_TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(_stretch(cuts, b.column(0).to_pylist()), pa.int64()), b.column(0)], names=["stretch", "doc_id"])
-
-    firsts = ids.mapInArrow(run, "stretch long, doc_id long").groupBy("stretch").agg(F.max("doc_id").alias("doc_id")).orderBy("stretch").collect()
-    before = {r["stretch"]: firsts[k - 1]["stretch"] for k, r in enumerate(firsts)}  # of the first: the last
-    return cuts, before, {r["stretch"]: r["doc_id"] for r in firsts}
 
-
-def _stretch(cuts: list[int], ids: list) -> list[int]:
-    """Numbers that go up as doc_id goes down; null ids come last."""
-    top = len(cuts)
-    return [top + 1 if d is None else top - bisect.bisect_right(cuts, d) for d in ids]
+def _result(doc_id, text: str, own: str, following: str, mark: str) -> tuple:
+    other = edited(text, following)
+    there = own if other == text else fingerprint(other)
+    return doc_id, len(text), sha256(other.encode("utf-8", "replace")), own, there, likeness(own, there), likeness(own, mark)
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next of every document.
 
-    The first document of a stretch goes a second time, as the halo row that
-    ends the stretch before it, so the texts are shuffled once."""
-    cuts, before, first_id = stretches(docs)
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "text", "stretch", "halo"]
-        for b in batches:
-            ids = b.column(0).to_pylist()
-            number = _stretch(cuts, ids)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(number, pa.int64()), pa.array(np.zeros(len(b), np.int32))], names=names)
-            heads = [k for k, (d, s) in enumerate(zip(ids, number)) if d == first_id[s]]
-            if heads:
-                t = b.take(pa.array(heads))
-                yield pa.RecordBatch.from_arrays([*t.columns, pa.array([before[number[k]] for k in heads], pa.int64()), pa.array(np.ones(len(heads), np.int32))], names=names)
-
-    rows = given.mapInArrow(deal, "doc_id long, text string, stretch long, halo int")
-    rows = rows.repartition("stretch").sortWithinPartitions("stretch", "halo", F.col("doc_id").desc_nulls_last(), "text")
+    The texts are dealt once, by ranges of doc_id and of the text's hash, so
+    rows of one doc_id, or of none, are dealt to several tasks as well.  A task
+    streams its rows in order.  The first and the last row of each task go into
+    a table of their own, where the last meets the first of the next task."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
+    order = [F.col("doc_id").desc_nulls_last(), F.col("tie")]
+    rows = given.repartitionByRange(*order).sortWithinPartitions(*order, "text").select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-        types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-        held, done = None, []  # held: doc_id, text, fingerprint, stretch
+        alone(__name__)
+        task = TaskContext.get().partitionId()
+        held, done, ends = None, [], []  # held: doc_id, text, fingerprint
 
-        def close(following: str, mark: str) -> None:
-            d, text, own, _ = held
-            other = edited(text, following)
-            there = own if other == text else fingerprint(other)
-            done.append((d, len(text), sha256(other.encode("utf-8", "replace")), own, there, likeness(own, there), likeness(own, mark)))
+        def out() -> pa.RecordBatch:
+            made = [(*r, None, None) for r in done] + [(d, None, None, own, None, None, None, t, e) for d, t, own, e in ends]
+            done.clear(), ends.clear()
+            kinds = [*_TYPES, pa.string(), pa.bool_()]
+            cols = [pa.array(x, t) for x, t in zip(zip(*made), kinds)]
+            return pa.RecordBatch.from_arrays([*cols, pa.array([task] * len(made), pa.int32())], names=[*_NAMES, "edge", "last", "task"])
 
         for batch in batches:
-            for d, text, s, end in zip(*(c.to_pylist() for c in batch.columns)):
-                if end and (held is None or held[3] != s):
-                    continue  # a second halo row, of a repeated id
-                mark = held[2] if held and held[1] == text else fingerprint(text)
-                if held and held[3] == s:
-                    close(text, mark)
-                held = None if end else (d, text, mark, s)
+            for d, t in zip(*(c.to_pylist() for c in batch.columns)):
+                mark = held[2] if held and held[1] == t else fingerprint(t)
+                if held:
+                    done.append(_result(*held, t, mark))
+                else:
+                    ends.append((d, t, mark, False))
+                held = (d, t, mark)
                 if len(done) >= 512:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*done), types)], names=names)
-                    done = []
-        if done:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*done), types)], names=names)
+                    yield out()
+        if held:
+            ends.append((*held, True))
+            yield out()
+
+    table = materialize(rows.mapInArrow(run, f"{_RESULT}, edge string, last boolean, task int"))
+    inner = table.where("edge is null").select(*_NAMES)
+    ends = table.where("edge is not null")
+    first = ends.where("not last").select("task", F.col("edge").alias("next_text"), F.col("fingerprint").alias("next_mark"))
+    # One number for each task; behind the last task comes the first again.
+    tasks = first.select("task")
+    after = tasks.select("task", F.coalesce(F.lead("task").over(Window.orderBy("task")), F.min("task").over(Window.partitionBy())).alias("next"))
+    pairs = ends.where("last").join(after, "task").join(first.withColumnRenamed("task", "next"), "next")
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = [_result(*r) for r in zip(*(c.to_pylist() for c in b.columns))]
+            if made:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*made), _TYPES)], names=_NAMES)
 
-    return rows.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    outer = pairs.select("doc_id", "edge", "fingerprint", "next_text", "next_mark").mapInArrow(close, _RESULT)
+    return inner.unionByName(outer)
 
 
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -186,9 +180,20 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     return given.mapInArrow(run, given.drop("_text").schema.add("fingerprint", "string")).toDF(*keep, "fingerprint")
 
 
-def _blocks(radius: int) -> list[tuple[int, int]]:
-    edges = [round(k * BITS / (radius + 1)) for k in range(radius + 2)]
-    return list(zip(edges, edges[1:]))
+def _blocks(radius: int) -> list[tuple[int, int, int]]:
+    """radius + 1 blocks (word, lowest bit, bits) of the 128 bits; none lies in
+    both words."""
+    first = (radius + 2) // 2
+    out = []
+    for word, n in ((0, first), (1, radius + 1 - first)):
+        edges = [round(64 * k / n) for k in range(n + 1)] if n else []
+        out += [(word, lo, hi - lo) for lo, hi in zip(edges, edges[1:])]
+    return out
+
+
+def _mask(block: tuple[int, int, int]) -> int:
+    mask = ((1 << block[2]) - 1) << block[1]
+    return mask - (1 << 64) if mask >> 63 else mask
 
 
 def near(queries: DataFrame, table: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -197,21 +202,33 @@ def near(queries: DataFrame, table: DataFrame, radius: int = RADIUS) -> DataFram
 
     Both inputs are reduced to distinct fingerprints first, so copies cost
     nothing; Spark's skew join splits blocks that many fingerprints share."""
-    whole = lambda c: F.conv(c, 16, 2)
-    words = [f"conv(substr(fp, {1 + 16 * k}, 16), 16, -10)" for k in range(BITS // 64)]
-    bits = F.concat(*[F.lpad(whole(F.substring("fp", 1 + 16 * k, 16)), 64, "0") for k in range(BITS // 64)])
     blocks = _blocks(radius)
 
     def tabled(df: DataFrame, side: str) -> DataFrame:
         df = df.select(F.col("fingerprint").alias("fp")).where("fp is not null").distinct()
-        df = df.select("fp", *[F.expr(f"cast({w} as bigint)").alias(f"{side}{k}") for k, w in enumerate(words)], bits.alias("bits"))
-        df = df.withColumn("block", F.explode(F.array(*[F.struct(F.lit(b).alias("at"), F.substring("bits", lo + 1, hi - lo).alias("value")) for b, (lo, hi) in enumerate(blocks)])))
-        return df.select(F.col("fp").alias(f"{side}_fp"), F.col("block.at").alias("at"), F.col("block.value").alias("value"), F.col("bits").alias(f"{side}_bits"), *[f"{side}{k}" for k in range(BITS // 64)])
-
-    pairs = tabled(queries, "q").join(tabled(table, "t"), ["at", "value"]).where("q_fp <> t_fp")
-    distance = sum((F.bit_count(F.col(f"q{k}").bitwiseXOR(F.col(f"t{k}"))) for k in range(1, BITS // 64)), F.bit_count(F.col("q0").bitwiseXOR(F.col("t0"))))
+        words = [F.conv(F.substring("fp", 1 + 16 * k, 16), 16, -10).cast("long").alias(f"{side}{k}") for k in (0, 1)]
+        df = df.select(*words)
+        values = [F.col(f"{side}{b[0]}").bitwiseAND(F.lit(_mask(b))) for b in blocks]
+        return df.select("*", F.posexplode(F.array(*values)).alias("at", "value"))
+
+    # The side that is joined is a table of its own: its size decides how.
+    asked = materialize(tabled(queries, "q"))
+    pairs = tabled(table, "t").join(asked, ["at", "value"])
+    differ = [F.col(f"q{k}").bitwiseXOR(F.col(f"t{k}")) for k in (0, 1)]
+    distance = F.bit_count(differ[0]) + F.bit_count(differ[1])
+    # A pair that agrees on an earlier block too is left to that block.
     earlier = F.lit(False)
-    for b, (lo, hi) in enumerate(blocks[:-1]):
-        earlier = earlier | ((F.col("at") > b) & (F.substring("q_bits", lo + 1, hi - lo) == F.substring("t_bits", lo + 1, hi - lo)))
-    pairs = pairs.withColumn("distance", distance).where((F.col("distance") <= radius) & ~earlier)
-    return pairs.select(F.col("q_fp").alias("query"), F.col("t_fp").alias("found"), "distance")
+    for k, b in enumerate(blocks[:-1]):
+        earlier = earlier | ((F.col("at") > k) & (differ[b[0]].bitwiseAND(F.lit(_mask(b))) == 0))
+    pairs = pairs.withColumn("distance", distance).where((F.col("distance") > 0) & (F.col("distance") <= radius) & ~earlier)
+    text = lambda s: F.concat(*[F.lpad(F.lower(F.hex(f"{s}{k}")), 16, "0") for k in (0, 1)])
+    return pairs.select(text("q").alias("query"), text("t").alias("found"), "distance")
+
+
+def with_neighbours(prints: DataFrame, asked: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``prints`` (fingerprint, ...) with n_near: how many other fingerprints lie
+    within the radius of one that ``asked`` holds, null for all others."""
+    asked = materialize(asked.select("fingerprint").distinct())
+    found = near(asked, prints, radius).groupBy(F.col("query").alias("fingerprint")).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(asked.join(found, "fingerprint", "left").select(F.col("fingerprint").alias("_asked"), F.coalesce("n", F.lit(0)).alias("n_near")))
+    return prints.join(counts, F.col("fingerprint") == F.col("_asked"), "left").drop("_asked")

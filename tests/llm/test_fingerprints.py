@@ -1,12 +1,15 @@
 import hashlib
 import random
 
+import xxhash
+
 from quillstone.llm import fingerprints as fp
 from quillstone.llm import queries
 
 
 def check(rows, got):
-    order = sorted(((d, t or "") for d, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    number = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) ^ 1 << 63) - (1 << 63)
+    order = sorted(((d, t or "") for d, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), number(r[1]), r[1]))
     want = {}
     for k, (d, t) in enumerate(order):
         nxt = order[(k + 1) % len(order)][1]
@@ -14,17 +17,21 @@ def check(rows, got):
         want.setdefault(d, []).append((len(t), hashlib.sha256(e.encode()).hexdigest(), fp.fingerprint(t), fp.fingerprint(e), fp.likeness(fp.fingerprint(t), fp.fingerprint(e)), fp.likeness(fp.fingerprint(t), fp.fingerprint(nxt))))
     have = {}
     for r in got:
-        have.setdefault(r.doc_id, []).append(tuple(r[1:]))
+        have.setdefault(r.doc_id, []).append(tuple(r[1:7]))
     assert {d: sorted(v) for d, v in have.items()} == {d: sorted(v) for d, v in want.items()}
 
 
-def test_query(spark, sf_dir, monkeypatch):
-    monkeypatch.setattr(fp, "_DOCS_A_STRETCH", 30)
+def test_query(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     got = queries.op2_document_fingerprints(spark, sf_dir).collect()
     check(rows, got)
     # Half of a text is left in its edit, nothing in the next document.
     assert sum(r.near_edited > r.near_next for r in got) > 0.9 * len(got)
+    marks = {int(r.fingerprint, 16) for r in got}
+    for r in got:
+        own = int(r.fingerprint, 16)
+        asked = any(int(x.fingerprint, 16) == own for x in got if x.doc_id % 100 == 0)
+        assert r.n_near == (sum(0 < (own ^ m).bit_count() <= fp.RADIUS for m in marks) if asked else None)
 
 
 def test_edge_cases(spark):
@@ -33,6 +40,14 @@ def test_edge_cases(spark):
     check(rows, fp.fingerprint_edits(df).collect())
     check(rows[-1:], fp.fingerprint_edits(df.where("doc_id = 9")).collect())
     assert fp.fingerprint_edits(df.limit(0)).count() == 0
+    # One id, and no id, in a third of the rows each, dealt to many tasks.
+    rows = [(7 if k % 3 == 0 else None if k % 3 == 1 else k, f"text {k % 50} " * 40) for k in range(400)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = fp.fingerprint_edits(spark.createDataFrame(rows, "doc_id long, text string"))
+        check(rows, out.collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_near_equals_brute_force(spark):
