@@ -2,8 +2,8 @@
 
 ``pack`` stores bytes losslessly: every byte is the quantised DC coefficient of
 one 8x8 block (quantiser 8, so the block's samples equal the byte), 576 blocks
-to a row, one restart interval for each row, 8191 rows to a frame; longer
-payloads take several frames.  ``unpack`` reads any baseline JPEG: it parses
+to a row, one restart interval for each row, 1023 rows to a frame; longer
+payloads take several frames, which are packed and read one after the other.  ``unpack`` reads any baseline JPEG: it parses
 markers, Huffman-decodes the scans in numpy, one lane for each restart
 interval, and keeps the DC terms of the luminance, the thumbnail at 1/8 scale.
 
@@ -14,6 +14,7 @@ JPEG get null features and an error text; an empty table an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
@@ -26,8 +27,9 @@ from pyspark.sql import functions as F
 from .common import byte_slices, column, flat_bytes, others, sha256
 
 ROW = 576
-FRAME_ROWS = 8191
-SLICE_BYTES = 1 << 22
+FRAME_ROWS = 1023
+#: Bytes that are laid out at once; packing takes some 85 times as many.
+SLICE_BYTES = 1 << 20
 #: Code lengths of the DC categories that are written: 6 of 3 bits, 3 of 4 bits.
 DC_SYMBOLS = (4, 3, 5, 2, 7, 1, 0, 6, 8)
 DC_COUNTS = (0, 0, 6, 3) + (0,) * 12
@@ -139,6 +141,15 @@ def pack(payload: np.ndarray, rows: np.ndarray) -> list[bytes]:
     return [raw[a:b] for a, b in zip([0, *text_end], text_end)]
 
 
+def packed(data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """The JPEG bytes of the texts that ``offsets`` cut out; a text that fills
+    several frames is packed frame by frame."""
+    if offsets[-1] - offsets[0] <= SLICE_BYTES or len(offsets) > 2:
+        return pack(*pad_rows(data, offsets))
+    edges = np.append(np.arange(offsets[0], offsets[1], FRAME_ROWS * ROW), offsets[1])
+    return [b"".join(pack(*pad_rows(data, edges[k : k + 2]))[0] for k in range(len(edges) - 1))]
+
+
 class _Tables:
     """Lookups by the next 16 bits: the DC difference with all its bits, and
     with an end of block that follows; the code alone; the AC symbol."""
@@ -356,6 +367,35 @@ def unpack(media: list[bytes]) -> list[list[np.ndarray] | str]:
     return found
 
 
+def frames_of(media: bytes) -> list[bytes]:
+    """A value's frames: no end of image lies inside scan data."""
+    out, at = [], 0
+    while at < len(media):
+        end = media.find(b"\xff\xd9", parse(media, at)[1])
+        if end < 0:
+            raise NotBaseline("no end of image")
+        out.append(media[at : end + 2])
+        at = end + 2
+    return out
+
+
+def unpacked(media: list[bytes]) -> list[list[np.ndarray] | str]:
+    """As ``unpack``; a long value is read frame by frame."""
+    if len(media) != 1 or len(media[0]) <= SLICE_BYTES:
+        return unpack(media)
+    thumbs: list[np.ndarray] = []
+    try:
+        frames = frames_of(media[0])
+    except (NotBaseline, struct.error, IndexError):
+        return unpack(media)  # says what is wrong
+    for f in frames:
+        (found,) = unpack([f])
+        if isinstance(found, str):
+            return [found]
+        thumbs += found
+    return [thumbs]
+
+
 def thumbnail_hash(thumb: np.ndarray) -> int:
     """64-bit difference hash: signs of the steps between 9 column means in
     each of 8 row bands."""
@@ -376,7 +416,7 @@ def store(df: DataFrame, text: str = "text", media: str = "media") -> DataFrame:
         for batch in batches:
             data, offsets = flat_bytes(column(batch, "_text"))
             for i, j in byte_slices(offsets, SLICE_BYTES):
-                made = pack(*pad_rows(data, offsets[i : j + 1]))
+                made = packed(data, offsets[i : j + 1])
                 rows = [batch.column(k).slice(i, j - i) for k in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*rows, pa.array(np.diff(offsets[i : j + 1])), pa.array(made, pa.binary())], names=[*(f"k{k}" for k in range(len(keep))), "n_bytes", "media"])
 
@@ -396,11 +436,14 @@ def features(df: DataFrame, media: str = "media") -> DataFrame:
     def row(m: bytes, frames) -> tuple:
         if isinstance(frames, str):
             return (None, None, None, None, None, None, len(m), sha256(m), None, frames)
-        payload = frames[0].tobytes() if len(frames) == 1 else b"".join(t.tobytes() for t in frames)
+        digest, size = hashlib.sha256(), sum(t.size for t in frames)
+        for t in frames:
+            digest.update(np.ascontiguousarray(t))
+        tail = b"".join(t.tobytes()[-32:] for t in frames[-2:])[-32:]
         h = "".join(f"{thumbnail_hash(t):016x}" for t in frames)
         width, height = 8 * frames[0].shape[1], 8 * sum(len(t) for t in frames)
-        mean = sum(int(t.sum()) for t in frames) / max(1, len(payload))
-        return (width, height, h, len(payload), sha256(payload), zlib.crc32(payload[-32:]), len(m), sha256(m), f"{width}x{height}:{mean:.3f}:{h}", None)
+        mean = sum(int(t.sum()) for t in frames) / max(1, size)
+        return (width, height, h, size, digest.hexdigest(), zlib.crc32(tail), len(m), sha256(m), f"{width}x{height}:{mean:.3f}:{h}", None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -408,7 +451,7 @@ def features(df: DataFrame, media: str = "media") -> DataFrame:
             _, offsets = flat_bytes(col)
             for i, j in byte_slices(offsets, SLICE_BYTES):
                 own = [x or b"" for x in col.slice(i, j - i).to_pylist()]
-                made = list(zip(*map(row, own, unpack(own))))
+                made = list(zip(*map(row, own, unpacked(own))))
                 rows = [batch.column(k).slice(i, j - i) for k in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*rows, *(pa.array(x, f.type) for x, f in zip(made, _ARROW))], names=[*(f"k{k}" for k in range(len(keep))), *_ARROW.names])
 

@@ -27,7 +27,7 @@ def _thumbs(texts):
 
 
 def test_round_trip():
-    texts = ["", "a", "x" * 576, "y" * 577, "ÿþ" * 900, "z" * (576 * 8191 + 5)]
+    texts = ["", "a", "x" * 576, "y" * 577, "ÿþ" * 900, "z" * (576 * jpeg.FRAME_ROWS + 5)]
     for raw, media, frames in zip(*_thumbs(texts)):
         payload = b"".join(f.tobytes() for f in frames)
         assert payload.startswith(raw) and len(payload) % 576 == 0 and set(payload[len(raw) :]) <= {255}
@@ -72,3 +72,26 @@ def test_edge_cases(spark):
     assert jpeg.features(jpeg.store(df.limit(0).select("doc_id", "text"))).count() == 0
     bad = spark.createDataFrame([(1, b"abc"), (2, None), (3, b"\xff\xd8\xff\xc2\x00\x02")], "doc_id long, media binary")
     assert [r.media_error is not None and r.feature is None for r in jpeg.features(bad).collect()] == [True] * 3
+
+
+def test_long_texts_frame_by_frame(spark):
+    import resource
+
+    frame = jpeg.FRAME_ROWS * jpeg.ROW
+    texts = ["a\u00e9" * 900_000, "z" * (2 * frame), "z" * (2 * frame + 1), "short"]
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    for t in texts:
+        raw = t.encode()
+        (media,) = jpeg.packed(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        (thumbs,) = jpeg.unpacked([media])
+        back = b"".join(x.tobytes() for x in thumbs)
+        assert back.rstrip(b"\xff") == raw and len(back) % jpeg.ROW == 0
+        assert media == b"".join(jpeg.frames_of(media)) and len(jpeg.frames_of(media)) == len(thumbs) == max(1, -(-len(raw) // frame))
+        if len(raw) < 3 * frame:
+            assert media == jpeg.pack(*jpeg.pad_rows(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])))[0]
+    assert jpeg.unpacked([media + b"\xff" * (jpeg.SLICE_BYTES + 9)])[0] == "no start of image"
+    # 64 MB in bounded memory: text, media and thumbnails, and one frame's work.
+    big = np.full(64 << 20, 97, np.uint8)
+    (media,) = jpeg.packed(big, np.array([0, len(big)]))
+    assert sum(x.size for x in jpeg.unpacked([media])[0]) >= len(big)
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 700_000
