@@ -24,6 +24,8 @@
 
 Texts are named by two 64-bit hashes; copies are cut once.
 
+Texts of any length are read in slices of 256 KB.
+
 Defined results: null text is empty; matches never cross documents, may lie in
 one document and may overlap themselves; repeated rows are copies; an empty
 table gives an empty result; other columns are not used.
@@ -40,13 +42,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, column, flat_bytes, materialize, ragged
+from .common import byte_slices, collect_garbage, column, drop, flat_bytes, materialize, ragged
 
 WINDOW = 200
 GRAM = 32
 SPREAD = WINDOW - GRAM  # bytes of context before an anchor
 BIG = 4_000
 SLICE_BYTES = 1 << 18
+POSITION_BITS = 19
 INDEX_BYTES = 1 << 20
 MARK = 255
 #: Three ranks to a sort key, up to this many suffixes.
@@ -76,8 +79,9 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     if len(data) < WINDOW or lens.max() < WINDOW:
         return none, none, none.astype(np.uint64), none, none
     h = gram_hashes(data)
-    # The key's low bits hold the position: equal hashes give the leftmost.
-    wide = np.uint64(max(1, int(len(h)).bit_length()))
+    # The key's low bits hold the position: equal hashes give the leftmost, and
+    # as many bits of the hash count in every buffer.
+    wide = np.uint64(POSITION_BITS)
     low = (np.uint64(1) << wide) - np.uint64(1)
     m = (h & ~low) | np.arange(len(h), dtype=np.uint64)
     n, span = SPREAD + 1, 1
@@ -96,6 +100,24 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return text, at - offsets[text], h[at], far, near
 
 
+def anchors_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """As ``anchors``, for a single text of any length: slices that overlap by
+    all but one byte of a window, an anchor of two slices taken together."""
+    if len(data) <= SLICE_BYTES:
+        return anchors(data, offsets)
+    found = []
+    for lo in range(0, len(data) - WINDOW + 1, SLICE_BYTES):
+        part = data[lo : lo + SLICE_BYTES + WINDOW - 1]
+        text, pos, gram, far, near = anchors(part, np.array([0, len(part)]))
+        pos = pos + lo
+        if found and len(pos) and found[-1][1][-1] == pos[0]:
+            found[-1][4][-1] = near[0]
+            text, pos, gram, far, near = (x[1:] for x in (text, pos, gram, far, near))
+        if len(pos):
+            found.append((text, pos, gram, far, near))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     digest = xxhash.xxh3_64_intdigest
     for b in batches:
@@ -104,7 +126,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j in byte_slices(all_offsets, SLICE_BYTES):
             offsets = all_offsets[i : j + 1]
             own = data[offsets[0] : offsets[-1]]
-            text, pos, gram, far, near = anchors(own, offsets - offsets[0])
+            text, pos, gram, far, near = anchors_of(own, offsets - offsets[0])
             if not len(text):
                 continue
             at = (offsets - offsets[0])[:-1][text] + pos
@@ -322,26 +344,36 @@ def cut_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Anchors that occur again, and whether in several contexts.  Small tables
     # of their own, so that Spark can split the hot keys of the joins.
     again = materialize(occurrences.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), (F.min("context") != F.max("context")).alias("several")).where("n > 1").select("anchor", "several"))
-    found = materialize(occurrences.join(again, "anchor"))
+    spark = docs.sparkSession
+    collect_garbage(spark)
+    kept = materialize(occurrences.join(again, "anchor"))
+    drop(occurrences, again)
+    collect_garbage(spark)
     place = F.struct("k1", "k2", "pos")
-    contexts = materialize(found.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")))
-    found = found.distinct().join(contexts, ["anchor", "context"])
+    contexts = materialize(kept.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")))
+    found = kept.distinct().join(contexts, ["anchor", "context"])
     solo, rep = F.col("n") == 1, F.col("several") & (place == F.col("first"))
     found = found.select("k1", "k2", "pos", "far", "near", F.when(rep, F.col("anchor")).alias("anchor"), solo.alias("solo"), rep.alias("rep")).where("rep or not solo")
     lists = found.groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "far", "near", "anchor", "solo", "rep")).alias("found"))
     # One document for each distinct text that has any; copies are not shuffled.
     first = info.groupBy("k1", "k2").agg(F.min("doc_id").alias("first_id"))
-    lists = lists.join(first, ["k1", "k2"])
+    lists = materialize(lists.join(first, ["k1", "k2"]))
+    drop(kept, contexts)
+    collect_garbage(spark)
     texts = keyed.join(lists, (keyed.doc_id.eqNullSafe(lists.first_id)) & (keyed.k1 == lists.k1) & (keyed.k2 == lists.k2)).select(keyed.k1, keyed.k2, "text", "found")
-    texts = materialize(texts)
+    whole = texts = materialize(texts)
+    drop(lists)
+    collect_garbage(spark)
     pieces = materialize(texts.where(F.exists("found", lambda f: f["rep"])).mapInArrow(_pieces, "anchor long, k1 long, k2 long, pos int, far int, near int, solo boolean, piece binary"))
     big = materialize(pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BIG).select("anchor"))
     crowded = big.limit(1).count() > 0
+    done = [whole, pieces, big]
     small = pieces.join(big, "anchor", "left_anti") if crowded else pieces
     hits = small.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_index, "k1 long, k2 long, pos int, far int, near int")
     if crowded:
         windows = materialize(pieces.join(big, "anchor").mapInArrow(_windows, "w1 long, w2 long, k1 long, k2 long, pos int, offset int, solo boolean"))
         twice = materialize(windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2"))
+        done += [windows, twice]
         more = windows.where("solo").join(twice, ["w1", "w2"]).groupBy("k1", "k2", "pos").agg(F.max("offset").alias("far"), F.min("offset").alias("near"))
         hits = hits.unionByName(more)
     # Whole contexts that occur again, and what the index found of the others.
@@ -351,6 +383,7 @@ def cut_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     none = F.array().cast("array<struct<lo:int,hi:int>>")
     texts = texts.join(spans, ["k1", "k2"], "left").select("k1", "k2", "text", F.concat(own, F.coalesce("spans", none)).alias("spans")).where(F.size("spans") > 0)
     cuts = materialize(texts.mapInArrow(_cut, "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string, kept binary").dropDuplicates(["k1", "k2"]))
+    drop(*done)
     return info, cuts
 
 

@@ -101,3 +101,23 @@ def test_big_buffers_rank_by_pairs(monkeypatch):
     want = repeats.RunIndex(pieces).samples
     monkeypatch.setattr(repeats, "TRIPLE", 1)
     assert all((a == b).all() for x, y in zip(want, repeats.RunIndex(pieces).samples) for a, b in zip(x, y))
+
+
+def test_slices_of_a_long_text(monkeypatch):
+    """Slices have the anchors of the whole text, each once."""
+    rng = random.Random(11)
+    data = np.frombuffer(b"".join(rng.choice([b"abab", b"x" * 300, rng.randbytes(90)]) for _ in range(400)), np.uint8)
+    whole = repeats.anchors(data, np.array([0, len(data)]))
+    for size in (1, 199, 1_000, 4_096):
+        monkeypatch.setattr(repeats, "SLICE_BYTES", size)
+        for a, b in zip(repeats.anchors_of(data, np.array([0, len(data)])), whole):
+            assert a.tolist() == b.tolist()
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(12)
+    text = words(rng, 150_000)
+    rows = [(1, text), (2, text[: len(text) // 2] + words(rng, 500)), (3, None)]
+    got = {r.doc_id: r for r in repeats.dedup_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    n = len(text[: len(text) // 2].encode())
+    assert n <= got[1].n_removed <= n + 10 and n <= got[2].n_removed <= n + 10 and got[1].n_spans == got[2].n_spans == 1 and got[3].n_bytes == 0
