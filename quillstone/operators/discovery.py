@@ -104,3 +104,16 @@ def archive_documents(captures: DataFrame, bank: str, doc_type: str, pattern: st
     latest = hit.groupBy("original").agg(F.max("stamp").alias("stamp"))
     d = dates.year_in_path(F.col("original"))
     return latest.select(F.lit(bank).alias("bank_code"), F.lit(doc_type).alias("doc_type"), urls.last_segment(F.col("original")).alias("title"), urls.archive_url(F.col("stamp"), F.col("original")).alias("pdf_url"), F.array("original").alias("alt_urls"), d.alias("date"), F.lit("year").alias("date_precision"))
+
+
+def skip_counts(candidates: DataFrame, known: DataFrame, url: str = "pdf_url") -> DataFrame:
+    """bank_code, found, skipped: what a publisher's listing held, and how much
+    of it was known before."""
+    k = known.select(F.col("url").alias("_known")).distinct()
+    seen = candidates.join(k, F.col(url) == F.col("_known"), "left")
+    return seen.groupBy("bank_code").agg(F.count(F.lit(1)).alias("found"), F.count("_known").alias("skipped"))
+
+
+def unknown_banks(wanted: DataFrame, banks: DataFrame) -> DataFrame:
+    """Codes (bank_code) that no publisher has; a warning, they are left out."""
+    return wanted.select("bank_code").where("bank_code is not null").distinct().join(banks.select("bank_code"), "bank_code", "left_anti")

@@ -6,6 +6,7 @@ import json
 import os
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,6 +91,45 @@ def append(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").partitionBy("bank_code").json(path)
 
 
+def append_audit(rows: DataFrame, path: str) -> None:
+    """Audit lines, of discovery or of downloads, as they are; files are only
+    added, and ``last_lines`` or ``inventory`` reads the latest of a key."""
+    rows.write.mode("append").json(path)
+
+
+def split_legacy(spark: SparkSession, file: str, root: str) -> int:
+    """One file of all publishers to a folder for each, every line as it was, in
+    its order; the number of publishers.  A broken line stops it (but for a
+    torn last one, which goes with the unknown), an existing folder too."""
+    require_whole(spark, file)
+    lines = spark.read.text(file).where(F.trim("value") != "").withColumn("_pos", F.monotonically_increasing_id())
+    bank = F.coalesce(F.nullif(F.get_json_object("value", "$.bank_code"), F.lit("")), F.lit("_unknown"))
+    lines = lines.withColumn("bank_code", bank).repartition("bank_code").sortWithinPartitions("bank_code", "_pos")
+    lines.select("value", "bank_code").write.mode("errorifexists").partitionBy("bank_code").text(root)
+    return spark.read.text(root).select("bank_code").distinct().count()
+
+
+def save_artefacts(rows: DataFrame, root: str) -> DataFrame:
+    """path, size of the bodies (path, body) written below ``root``, a folder
+    that all executors mount.  A file is complete or absent, and is the same
+    when a task runs again."""
+
+    def run(batches):
+        for b in batches:
+            names, sizes = b.column(0).to_pylist(), []
+            for path, body in zip(names, b.column(1).to_pylist()):
+                full = os.path.join(root, path)
+                os.makedirs(os.path.dirname(full), exist_ok=True)
+                part = f"{full}.{uuid.uuid4().hex}.part"
+                with open(part, "wb") as f:
+                    f.write(body or b"")
+                os.replace(part, full)
+                sizes.append(len(body or b""))
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(sizes, pa.int64())], names=["path", "size"])
+
+    return rows.select("path", "body").mapInArrow(run, "path string, size long")
+
+
 class LostRows(AssertionError):
     """A rewrite would not keep the ledger's documents."""
 
