@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, DoubleType, StringType
+from pyspark.sql.types import DoubleType, StringType
 
 CHUNK_CHARS = 1000 * 4
 OVERLAP_CHARS = 120 * 4
@@ -31,18 +31,24 @@ def institution_key(text: str | None) -> str:
     return " ".join("".join(c if c.isalnum() else " " for c in _plain(text or "")).split())
 
 
-def chunks(text: str | None, target: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> list[str]:
-    """Lines gathered greedily; where the next one would exceed the target, a
-    new chunk starts with the end of the last.  The test holds for the first
-    line as well: if that is too long, an empty chunk comes before it."""
-    done, held = [], ""
-    for line in filter(None, map(str.strip, (text or "").split("\n"))):
-        full = len(held) + len(line) > target
-        if full:
-            done.append(held)
-            held = held[-overlap:]
-        held = f"{held}\n{line}" if full or held else line
-    return [*done, held] if held else done
+def chunk_text(text: Column, target: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> Column:
+    """Chunks of a text as a fold over its lines, all in the JVM.
+
+    A line that would make the open chunk longer than ``target`` closes it, even
+    an empty one; the next chunk begins with the ``overlap`` characters that
+    ended it.  Lines are without white space around them, blank ones don't count."""
+    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+\z", ""))
+    lines = F.filter(lines, lambda x: x != "")
+    begin = F.struct(F.array().cast("array<string>").alias("closed"), F.lit("").alias("open"))
+
+    def step(state: Column, line: Column) -> Column:
+        closed, held = state["closed"], state["open"]
+        closes = F.length(held) + F.length(line) > target
+        before = F.when(closes, F.concat(F.right(held, F.lit(overlap)), F.lit("\n"))).when(held != "", F.concat(held, F.lit("\n"))).otherwise("")
+        return F.struct(F.when(closes, F.array_append(closed, held)).otherwise(closed).alias("closed"), F.concat(before, line).alias("open"))
+
+    rest = lambda state: F.when(state["open"] != "", F.array_append(state["closed"], state["open"])).otherwise(state["closed"])
+    return F.aggregate(lines, begin, step, rest)
 
 
 @pandas_udf(StringType())
@@ -61,11 +67,6 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([round(difflib.SequenceMatcher(None, x or "", y or "").ratio(), 3) for x, y in zip(a, b)])
 
 
-@pandas_udf(ArrayType(StringType()))
-def chunk_text(s: pd.Series) -> pd.Series:
-    return s.map(chunks)
-
-
 def on_distinct(df: DataFrame, value: str, udf: Callable[[Column], Column], name: str) -> DataFrame:
     """``df`` with ``name`` = udf(value), evaluated once for each value."""
     seen = df.select(F.col(value).alias("_value")).distinct().withColumn(name, udf(F.col("_value")))

@@ -384,7 +384,13 @@ def _(t):
     return recovery.classify_failures(failures, signed.unionByName(bought), captures, fresh, outcomes).select("event_id", "action", "snapshot_ts")
 
 
-@query("q43_chunking")
+@query("q43_chunking", r"""with recursive l as (select doc_id, row_number() over (partition by doc_id order by i) as n, line
+  from (select doc_id, unnest(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^[\s\p{Z}\x{85}\x0B]+|[\s\p{Z}\x{85}\x0B]+$', '', 'g'))) as line, generate_subscripts(string_split(text, chr(10)), 1) as i from documents) where line <> ''),
+w as (select doc_id, 0::bigint as n, '' as held, null::varchar as chunk from documents union all
+  select w.doc_id, l.n, case when length(held) + length(line) > 4000 then right(held, 480) || chr(10) || line when held <> '' then held || chr(10) || line else line end,
+    case when length(held) + length(line) > 4000 then held end from w join l on l.doc_id = w.doc_id and l.n = w.n + 1),
+c as (select doc_id, n, chunk from w where chunk is not null union all select doc_id, max(n) + 1, max_by(held, n) from w group by doc_id having max_by(held, n) <> '')
+select doc_id, (row_number() over (partition by doc_id order by n) - 1)::int as chunk_index, doc_id || ':' || row_number() over (partition by doc_id order by n) - 1 as chunk_id, length(chunk)::int as n_chars, sha256(chunk) as chunk_sha256 from c""")
 def _(t):
     out = rag.chunked(t("documents").select("doc_id", "text"))
     return out.select("doc_id", "chunk_index", "chunk_id", F.length("chunk").alias("n_chars"), F.sha2("chunk", 256).alias("chunk_sha256"))
@@ -451,7 +457,7 @@ def _(t):
     return _lines(t).select("l_orderkey", "l_linenumber", day(choice["date"]).alias("day"), choice["precision"].alias("precision"))
 
 
-@query("q53_institution_key")
+@query("q53_institution_key", r"select item_id, sha256(trim(regexp_replace(lower(strip_accents(text)), '[^\p{L}\p{N}]+', ' ', 'g'))) as key_sha256 from benchmark")
 def _(t):
     return text.on_distinct(t("benchmark"), "text", text.normalize_institution, "key").select("item_id", F.sha2("key", 256).alias("key_sha256"))
 

@@ -99,12 +99,15 @@ def test_text_keys():
     assert text.institution_key("People's Bank of  CHINA") == "people s bank of china"
 
 
-def test_chunks():
-    assert text.chunks("") == [] and text.chunks(None) == []
+def test_chunks(spark):
+    def chunks(x):
+        return value(spark, text.chunk_text(lit(x) if x is not None else F.lit(None).cast("string")))
+
+    assert chunks("") == [] and chunks(None) == [] and chunks(" \n\u00a0\n") == []
     long = "x" * 4100
-    assert text.chunks(f" {long} ") == ["", f"\n{long}"]
+    assert chunks(f" {long} ") == ["", f"\n{long}"]
     lines = [f"{k} " + "y" * 900 for k in range(9)]
-    got = text.chunks("\n\n".join(lines))
+    got = chunks("\n\n".join(lines))
     assert len(got) == 3 and got[1].startswith(got[0][-480:] + "\n")
 
 
