@@ -430,19 +430,27 @@ def _(t):
     return dedup.save_decisions(rows, held).select("seq", "status")
 
 
-@query("q48_page_links")
+@query("q48_page_links", r"""with l as (select url, regexp_extract_all(html, '<a href="([^"]*)">', 1) as h, regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1) as x from pages),
+e as (select url, unnest(range(0, len(h)))::int as pos, unnest(h) as href, unnest(x) as text from l)
+select url as page_url, pos, href, case when href like 'http%' then href else regexp_extract(url, '^[a-z]+://[^/?#]*') || href end as link_url, trim(replace(text, '&amp;', '&')) as text from e""")
 def _(t):
     return html.page_links(t("pages").select("url", "html"))
 
 
-@query("q49_page_metas")
+@query("q49_page_metas", r"""select url as page_url, case when page_id % 4 = 0 then 'C' || page_id else replace(trim(regexp_extract(html, '<h1>([^<]*)</h1>', 1)), '&amp;', '&') end as page_title,
+case when page_id % 4 = 0 then strftime(date '2020-01-01' + (page_id % 300)::int, '%Y-%m-%d') when page_id % 4 = 1 then '2019-01-01' end as published, case when page_id % 3 = 0 then 'og ' || page_id end as og_title from pages""")
 def _(t):
-    return html.page_metas(t("pages").select("url", "html")).select("page_url", "page_title", day("published").alias("published"), "og_title")
+    extra = """concat(if(page_id % 4 = 0, concat('<meta name="citation_title" content="A"><meta name="citation_title" content="C', page_id, '"><meta name="citation_publication_date" content="', date_format(date_add(date'2020-01-01', cast(page_id % 300 as int)), 'yyyy/MM/dd'), '">'), ''),
+      if(page_id % 4 = 1, '<meta name="citation_year" content="2019">', ''), if(page_id % 3 = 0, concat('<meta property="og:title" content=" og ', page_id, '">'), ''), '<meta name="date" content="1999-01-01">', html)"""
+    return html.page_metas(t("pages").select("url", F.expr(extra).alias("html"))).select("page_url", "page_title", day("published").alias("published"), "og_title")
 
 
-@query("q50_pdf_candidates")
+@query("q50_pdf_candidates", r"""select url as page_url, list_concat(['https://www.example.com/' || page_id || '.pdf'], case when page_id % 2 = 0 then ['https://example.com/t/' || page_id || '.PDF'] else [] end,
+  ['https://www.bis.org/review/r' || page_id || '.pdf'], ['https://a.net/pdf/' || page_id, 'https://b.net/form', 'https://d.net/x.pdf']) as candidates, 1 + (page_id % 2 = 0)::int as n_own, 1 as n_shared from pages""")
 def _(t):
-    return html.pdf_candidates(t("pages").select("url", "html"), F.lit("example.com"))
+    extra = """concat('<a href="https://a.net/pdf/', page_id, '">x</a><a href="/c/', page_id, '.pdf">y</a><a href="https://www.bis.org/review/r', page_id, '.pdf">z</a><a href="https://www.example.com/', page_id, '.pdf">v</a>',
+      '<input name="url" value="https://b.net/form"><input name="other" value="https://d.net/x.pdfx">', if(page_id % 2 = 0, concat('see https://example.com/t/', page_id, '.PDF'), ''), '<p>https://www.bis.org/review/r', page_id, '.pdf</p>')"""
+    return html.pdf_candidates(t("pages").select("url", F.expr(extra).alias("html")), F.lit("example.com"))
 
 
 @query("q51_url_variants", "select page_id, [url || '/a/pap.pdf', url || '/a/abs.html', url] as variants from pages")

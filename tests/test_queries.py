@@ -24,3 +24,49 @@ def test_runs(spark, sf_dir, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_proposals_equal_all_pairs(spark, sf_dir, con):
+    import difflib
+
+    title = "p_name || ' ' || p_type || ' ' || p_size"
+    parts = con.execute(f"select p_brand, p_partkey, p_size, {title} from part").fetchall()
+    want = []
+    for bank, k, size, text in parts:
+        if size >= 40:
+            scored = sorted((-round(difflib.SequenceMatcher(None, text, o).ratio(), 3), d) for b, d, s, o in parts if b == bank and s < 40)[:3]
+            want += [(k, n, d, str(-s)) for n, (s, d) in enumerate(scored, 1)] or [(k, 1, None, None)]
+    got = [(r.listing_pos, r["rank"], r.doc_id, r.score) for r in QUERIES["q38_propose_topk"](spark, sf_dir).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_guards_equal_a_walk(spark, sf_dir, con):
+    events = con.execute("select event_id, event_type, user_id::varchar, value, json_extract_string(props, '$.k') from events order by event_id").fetchall()
+    held = {}
+    for _, bank, doc, v, _ in events:
+        held[bank, doc] = max(v, held.get((bank, doc), v))
+    held = {k: v for k, v in held.items() if v > 12}
+    sources = {(b, f"https://pages.example/s{d}") for (b, d), v in held.items() if v < 30}
+    ids, pages, want = set(), set(), []
+    for line, bank, doc, v, k in events:
+        page = ("http://other/" if v > 60 else "https://pages.example/") + k if k is not None else None
+        if v <= 2:
+            why = "not-approved"
+        elif not (page or "").startswith("https://pages.example/"):
+            why = "bad-ideas-url"
+        elif (bank, doc) not in held:
+            why = "row-gone"
+        elif held[bank, doc] > 90:
+            why = "bad-doc-type"
+        elif held[bank, doc] < 30:
+            why = "source-not-empty"
+        elif (bank, doc) in ids:
+            why = "duplicate-doc-id"
+        elif (bank, page) in pages or (bank, page) in sources:
+            why = "duplicate-ideas-url"
+        else:
+            why = None
+            ids.add((bank, doc)), pages.add((bank, page))
+        want.append((line, bank, page or "", doc, why is None, why or ""))
+    got = [(r.line, r.bank, r.page_url or "", r.doc_id, r.applied, r.skip_reason or "") for r in QUERIES["q40_apply_guards"](spark, sf_dir).collect()]
+    assert sorted(got) == sorted(want)
