@@ -6,9 +6,10 @@ validity intervals; each capture is held against the entries that were active
 at its fetch time, as of that time.
 
 Hosts are reduced to distinct ones before they meet the list, so a host with a
-third of all captures costs one row there; its intervals then join the captures
-by host, where Spark's skew join splits the hot host.  Nothing is broadcast by
-a hint.
+third of all captures costs one row there.  Its intervals then join the captures
+by host, as of their time; Spark's skew join splits the hot host, and no entries
+are gathered in one row, however many a domain has.  Nothing is broadcast by a
+hint.
 
 Defined results: null, empty or hostless URLs have host '' and are never
 blocked; captures without fetch time are never blocked; of events of one
@@ -53,25 +54,28 @@ def filter_urls(captures: DataFrame, events: DataFrame) -> DataFrame:
     n_active (entries), categories (sorted, comma-joined), listed_since."""
     names = others(captures, "host", "blocked", "n_active", "categories", "listed_since")
     given = captures.select(F.struct(*names).alias("_row"), host_of(F.col("url")).alias("_host"), path_of(F.col("url")).alias("_path"), F.col("fetched_at").cast("timestamp").alias("_at"))
-    hosts = given.select("_host").where("_host <> ''").distinct()
+    # Captures of one page at one time are asked once.  Tables of their own, so
+    # that Spark can split a hot host in the joins.
+    asked = materialize(given.where("_host <> '' and _at is not null").select("_host", "_path", "_at").distinct())
+    hosts = asked.select("_host").distinct()
     labels = F.split("_host", r"\.")
     above = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     above = hosts.select("_host", F.explode(above).alias("_above"))
     listed = above.join(intervals(events), F.col("_above") == F.col("host"))
-    entry = F.struct("valid_from", "valid_to", "prefix", "category")
-    # A table of its own: Spark can then split the hot host in the join below.
-    listed = materialize(listed.groupBy(F.col("_host").alias("_listed")).agg(F.collect_list(entry).alias("_entries")))
-    joined = given.join(listed, F.col("_host") == F.col("_listed"), "left")
-    active = F.filter("_entries", lambda e: (e["valid_from"] <= F.col("_at")) & (e["valid_to"].isNull() | (F.col("_at") < e["valid_to"])) & F.startswith(F.col("_path"), e["prefix"]))
-    active = F.coalesce(active, F.slice("_entries", 1, 0), F.array().cast("array<struct<valid_from:timestamp,valid_to:timestamp,prefix:string,category:string>>"))
-    out = joined.withColumn("_active", active)
+    listed = materialize(listed.select(F.col("_host").alias("_listed"), "prefix", "category", "valid_from", "valid_to"))
+    active = (F.col("valid_from") <= F.col("_at")) & (F.col("valid_to").isNull() | (F.col("_at") < F.col("valid_to")))
+    hit = asked.join(listed, (F.col("_host") == F.col("_listed")) & active & F.startswith(F.col("_path"), F.col("prefix")))
+    made = [F.count(F.lit(1)).alias("_n"), F.array_join(F.array_sort(F.collect_set("category")), ",").alias("_kinds"), F.min("valid_from").alias("_since")]
+    found = materialize(hit.groupBy(F.col("_host").alias("_h"), F.col("_path").alias("_p"), F.col("_at").alias("_a")).agg(*made))
+    out = given.join(found, (F.col("_host") == F.col("_h")) & (F.col("_path") == F.col("_p")) & (F.col("_at") == F.col("_a")), "left")
+    n = F.coalesce("_n", F.lit(0))
     return out.select(
         *[F.col("_row")[c].alias(c) for c in names],
         F.col("_host").alias("host"),
-        (F.size("_active") > 0).alias("blocked"),
-        F.size("_active").cast("long").alias("n_active"),
-        F.array_join(F.array_sort(F.array_distinct(F.transform("_active", lambda e: e["category"]))), ",").alias("categories"),
-        F.array_min(F.transform("_active", lambda e: e["valid_from"])).alias("listed_since"),
+        (n > 0).alias("blocked"),
+        n.cast("long").alias("n_active"),
+        F.coalesce("_kinds", F.lit("")).alias("categories"),
+        F.col("_since").alias("listed_since"),
     )
 
 
