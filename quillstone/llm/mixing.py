@@ -32,6 +32,7 @@ SHARE = 1.5
 MOST = 2.0
 BUCKET_ROWS = 2_000
 FAN_IN = 1_000
+ALIKE = 10_000
 
 _STATE = "source string, bucket long, row_key long, doc_id long, size long, mass double"
 
@@ -41,11 +42,12 @@ def word_count(text: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """One row per source: source, source_size, n_docs, target.
+    """One row per source: source, source_size, n_docs, target; ``sizes`` has
+    a row for ``rows`` documents (source, size, rows).
 
     Water filling: sources in the order of cap / weight; those before the
     level are at their cap, the others share what is left by weight."""
-    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
+    per = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.sum("rows").alias("n_docs"))
     order = Window.orderBy(F.col("source").asc_nulls_last())
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.pmod(F.row_number().over(order) - 1, F.lit(len(weights))) + 1).cast("int"))
     per = per.withColumn("weight", w).withColumn("cap", F.col("source_size") * F.lit(most)).withColumn("level", F.col("cap") / F.col("weight"))
@@ -110,13 +112,18 @@ def _round(level: int, last: bool, seed: int):
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST, seed: int = 42, id_col: str = "doc_id") -> DataFrame:
     """doc_id, source, size, source_size, target, taken, copies, partial:
     ``taken`` words are ``copies`` whole copies and ``partial`` words more."""
-    sizes = materialize(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size")))
-    targets = materialize(source_targets(sizes, weights, share, most))
-    d, t = sizes.alias("d"), targets.alias("t")
+    sizes = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
+    # Rows that look alike are counted and then numbered, so those of one id, or
+    # of none, are dealt to many buckets as well.
+    alike = materialize(sizes.groupBy("source", "doc_id", "size").agg(F.count(F.lit(1)).alias("rows")))
+    targets = materialize(source_targets(alike, weights, share, most))
+    parts = alike.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / ALIKE))))
+    numbered = parts.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(ALIKE).cast("long"), F.col("rows") - F.col("part") * ALIKE))))
+    d, t = numbered.alias("d"), targets.alias("t")
     rate = F.least(F.lit(float(most)), F.when(F.col("t.source_size") > 0, F.col("t.target") / F.col("t.source_size")).otherwise(0.0))
     rows = d.join(t, F.col("d.source").eqNullSafe(F.col("t.source"))).select(
         "d.doc_id", "d.source", "d.size", "t.source_size", "t.target", rate.alias("rate"),
-        F.ceil(F.col("t.n_docs") / F.lit(BUCKET_ROWS)).alias("buckets"), F.xxhash64("d.doc_id").alias("row_key"))
+        F.ceil(F.col("t.n_docs") / F.lit(BUCKET_ROWS)).alias("buckets"), F.xxhash64("d.doc_id", "d.part", "d.nth").alias("row_key"))
     whole = F.floor("rate")
     state = rows.select("source", F.pmod("row_key", "buckets").alias("bucket"), "row_key", "doc_id", "size", ((F.col("rate") - whole) * F.col("size")).alias("mass"))
     n = targets.agg(F.max("n_docs")).first()[0] or 0

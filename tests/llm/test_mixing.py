@@ -72,3 +72,15 @@ def test_pivot_keeps_mass_and_expectation():
         assert len(open_) <= 1 and (len(open_) == 0 or open_[0] == held)
         total += out
     assert np.abs(total / 3000 / size - 0.3).max() < 0.06
+
+
+def test_one_id_in_most_rows(spark, monkeypatch):
+    """Rows that look alike are dealt to many buckets; reruns agree however the
+    input is dealt."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 50)
+    monkeypatch.setattr(mixing, "ALIKE", 300)
+    rows = [(1 if k % 3 else None, "w w w", "a") for k in range(2_000)] + [(k, "v " * (k % 9), "b") for k in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    one, two = (sorted(mixing.mix(df.repartition(n)).collect(), key=str) for n in (1, 5))
+    check(rows, one)
+    assert one == two
